@@ -1,0 +1 @@
+"""Left empty: every job of this package is a batch overwrite, there is nothing to stream."""
