@@ -34,3 +34,8 @@ def sanitize_column_names(columns: Iterable[str]) -> list[str]:
 def quoted(name: str) -> str:
     """``name`` as a SQL identifier, safe for spaces, leading digits and backticks."""
     return "`" + name.replace("`", "``") + "`"
+
+
+def sql_text(value: str) -> str:
+    """``value`` as a SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"

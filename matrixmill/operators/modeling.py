@@ -62,7 +62,7 @@ class SupervisedFit(NamedTuple):
     """Rows with ``pred_library_size``, metrics of the test rows, and the forest."""
 
     scored: DataFrame
-    metrics: dict[str, float]
+    metrics: dict[str, float | None]
     model: RandomForestRegressionModel
 
 
@@ -283,18 +283,16 @@ def train_library_size_model(
     return SupervisedFit(model.transform(vectors).drop(FEATURES), metrics, model)
 
 
-def build_prediction_table(
-    unsupervised: UnsupervisedFit, supervised_model: RandomForestRegressionModel,
-    metrics: dict[str, float | None],
-) -> DataFrame:
+def build_prediction_table(unsupervised: UnsupervisedFit, supervised: SupervisedFit) -> DataFrame:
     """Sample table with projection, cluster, prediction, target and the two model scores.
 
     The forest scores the clustered rows, so nothing has to be joined. The scores are
     literals on every row.
     """
     vectors = to_feature_matrix(unsupervised.scored)
+    metrics = supervised.metrics
     return (
-        supervised_model.transform(vectors)
+        supervised.model.transform(vectors)
         .drop(FEATURES)
         .withColumn("target_library_size", F.col(TARGET_COLUMN))
         .withColumn("model_r2", F.lit(metrics["r2"]).cast("double"))
@@ -313,11 +311,16 @@ def sample_table(df_norm: DataFrame, sample_column: str = SAMPLE) -> DataFrame:
 
 
 def run_modeling(
-    df_norm: DataFrame, n_estimators: int = N_ESTIMATORS
+    df_norm: DataFrame, n_estimators: int = N_ESTIMATORS, max_depth: int = MAX_DEPTH
 ) -> tuple[DataFrame, dict[str, float | None]]:
-    """The prediction table of a normalised count table, and the test metrics."""
+    """The prediction table of a normalised count table, and the test metrics.
+
+    Growing trees until each leaf holds one sample suits some hundreds of samples. With
+    millions of them, pass a smaller ``max_depth``.
+    """
     samples = sample_table(df_norm)
     unsupervised = fit_pca_kmeans(samples)
-    supervised = train_library_size_model(samples, n_estimators=n_estimators)
-    table = build_prediction_table(unsupervised, supervised.model, supervised.metrics)
-    return table, supervised.metrics
+    supervised = train_library_size_model(
+        samples, n_estimators=n_estimators, max_depth=max_depth
+    )
+    return build_prediction_table(unsupervised, supervised), supervised.metrics

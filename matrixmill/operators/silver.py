@@ -1,4 +1,9 @@
-"""Bronze to Silver: one row per gene and sample, typed and without gaps."""
+"""Bronze to Silver: one row per gene and sample, typed and without gaps.
+
+Expressions that list all samples are handed over as SQL text. Each ``Column`` built in
+Python costs some round trips to the JVM, which for a matrix of a thousand samples adds
+up to more time than the job itself takes.
+"""
 
 from __future__ import annotations
 
@@ -9,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from matrixmill.functions.expressions import GENE_PREFIX
-from matrixmill.functions.names import COUNT, GENE_ID, SAMPLE, quoted
+from matrixmill.functions.names import COUNT, GENE_ID, SAMPLE, quoted, sql_text
 
 _PLAIN_IDENTIFIER = re.compile(r"[A-Za-z_]\w*", re.ASCII)
 
@@ -22,10 +27,8 @@ def cast_sample_columns(
     df: DataFrame, columns: Sequence[str], gene_id_column: str = GENE_ID
 ) -> DataFrame:
     """The gene column and ``columns`` as doubles; text that is no number becomes null."""
-    return df.select(
-        F.col(quoted(gene_id_column)),
-        *[F.col(quoted(name)).try_cast("double").alias(name) for name in columns],
-    )
+    casts = [f"try_cast({quoted(name)} AS double) AS {quoted(name)}" for name in columns]
+    return df.selectExpr(quoted(gene_id_column), *casts)
 
 
 def build_stack_expression(
@@ -35,8 +38,7 @@ def build_stack_expression(
     _require_samples(columns)
     arguments = [str(len(columns))]
     for name in columns:
-        text = name.replace("\\", "\\\\").replace("'", "\\'")
-        arguments += [f"'{text}'", _identifier(name)]
+        arguments += [sql_text(name), _identifier(name)]
     outputs = f"{_identifier(sample_column)}, {_identifier(count_column)}"
     return f"stack({', '.join(arguments)}) as ({outputs})"
 
@@ -66,8 +68,8 @@ def unpivot_counts(
     columns it took three times as long.
     """
     _require_samples(columns)
-    names = F.array(*[F.lit(name) for name in columns])
-    counts = F.array(*[F.col(quoted(name)) for name in columns])
+    names = F.expr(f"array({', '.join(map(sql_text, columns))})")
+    counts = F.expr(f"array({', '.join(map(quoted, columns))})")
     gene = F.col(quoted(gene_id_column))
     return df.select(gene, F.posexplode(counts).alias("_position", count_column)).select(
         gene,

@@ -6,7 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-#: Largest lookup, in bytes of its values, that is sent to every executor.
+from matrixmill.functions.names import quoted
+
+#: Largest lookup, in bytes of its values, that is sent to every executor. The lookups
+#: here hold strings and numbers; other types have no bounded width and are not measured.
 BROADCAST_BYTES = 64 * 1024 * 1024
 #: Number of pieces each key of the fact table is cut into when the lookup is larger.
 SALTS = 32
@@ -17,12 +20,13 @@ _SALT = "_salt"
 
 def measured_bytes(df: DataFrame) -> int:
     """Size of all values of ``df``, by one aggregate that returns a single number."""
-    width = F.lit(0)
-    for field in df.schema:
-        width = width + _VALUE_OVERHEAD
-        if isinstance(field.dataType, StringType):
-            width = width + F.coalesce(F.octet_length(F.col(field.name)), F.lit(0))
-    return df.agg(F.coalesce(F.sum(width.cast("bigint")), F.lit(0)).alias("bytes")).first()["bytes"]
+    widths = [
+        f"coalesce(octet_length({quoted(field.name)}), 0)"
+        for field in df.schema
+        if isinstance(field.dataType, StringType)
+    ]
+    row = " + ".join([str(_VALUE_OVERHEAD * len(df.columns)), *widths])
+    return df.selectExpr(f"coalesce(sum(CAST({row} AS bigint)), 0) AS bytes").first()["bytes"]
 
 
 def lookup_join(
@@ -31,16 +35,23 @@ def lookup_join(
     key: str,
     how: str = "inner",
     broadcast_bytes: int = BROADCAST_BYTES,
+    lookup_bytes: int | None = None,
 ) -> DataFrame:
     """Equi-join of ``facts`` with ``lookup``; ``key`` comes first in the result.
 
     A lookup within ``broadcast_bytes`` is broadcast and the fact table does not move.
+    Its size is measured here, unless the caller has measured it as ``lookup_bytes``.
+
     A larger one is joined by a shuffle on key and salt. The salt is a hash of the
     whole fact row, so a key with a third of all rows lands in ``SALTS`` places and a
-    recomputed task sends every row where it went before. The lookup is repeated once
-    per salt, and no row is left out.
+    recomputed task sends every row where it went before. Exact copies of one row share
+    a salt; such a partition is left to the skew handling of adaptive execution, which
+    splits it by its map outputs. The lookup is repeated once per salt, and no row is
+    left out.
     """
-    if measured_bytes(lookup) <= broadcast_bytes:
+    if lookup_bytes is None:
+        lookup_bytes = measured_bytes(lookup)
+    if lookup_bytes <= broadcast_bytes:
         return facts.join(F.broadcast(lookup), key, how)
     salted_facts = facts.withColumn(
         _SALT, F.pmod(F.xxhash64(*facts.columns), F.lit(SALTS)).cast("int")

@@ -17,10 +17,10 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matrixmill.plans.joins import lookup_join
+from matrixmill.plans.joins import lookup_join, measured_bytes
 from matrixmill.sources.gtf import GTF_COLUMNS
 
 # The rules above, used by the queries' SQL as well.
@@ -45,35 +45,34 @@ def read_source(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def _part_accession(part_key: str) -> Column:
-    return F.concat(F.lit("ENSG"), F.lpad(F.col(part_key).cast("string"), 11, "0"))
+def _accession(part_key: str) -> str:
+    return f"concat('ENSG', lpad(CAST({part_key} AS string), 11, '0'))"
 
 
 def _as_samples(rows: DataFrame) -> DataFrame:
     cells = [
-        F.col(str(nation))
-        .cast("bigint")
-        .cast("string" if holds_text(nation) else "double")
-        .alias(raw_sample_name(nation))
+        f"CAST(CAST(`{nation}` AS bigint) AS {'string' if holds_text(nation) else 'double'}) "
+        f"AS `{raw_sample_name(nation)}`"
         for nation in NATION_KEYS
     ]
-    return rows.select(RAW_GENE_COLUMN, *cells)
+    return rows.selectExpr(f"`{RAW_GENE_COLUMN}`", *cells)
 
 
 def raw_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per part plus the summary rows, one column per nation."""
     lines = read_source(spark, sf_dir, "lineitem").withColumnRenamed("l_suppkey", "s_suppkey")
     suppliers = read_source(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    supplier_bytes = measured_bytes(suppliers)
     nations = list(NATION_KEYS)
 
     per_line = lines.select("s_suppkey", "l_partkey", "l_quantity")
-    version = (F.col("l_partkey") % 9 + 1).cast("string")
+    versioned = f"concat({_accession('l_partkey')}, '.', l_partkey % 9 + 1)"
     genes = (
-        lookup_join(per_line, suppliers, "s_suppkey")
+        lookup_join(per_line, suppliers, "s_suppkey", lookup_bytes=supplier_bytes)
         .groupBy("l_partkey")
         .pivot("s_nationkey", nations)
         .agg(F.sum("l_quantity"))
-        .withColumn(RAW_GENE_COLUMN, F.concat_ws(".", _part_accession("l_partkey"), version))
+        .withColumn(RAW_GENE_COLUMN, F.expr(versioned))
     )
     # The summary needs no line, so lines are added up per supplier before the join.
     per_supplier = (
@@ -81,49 +80,39 @@ def raw_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy("s_suppkey", "l_returnflag")
         .agg(F.sum("l_quantity").alias("l_quantity"))
     )
-    names = F.create_map(*[F.lit(text) for pair in SUMMARY_ROWS.items() for text in pair])
+    cases = " ".join(f"WHEN '{flag}' THEN '{name}'" for flag, name in SUMMARY_ROWS.items())
     summary = (
-        lookup_join(per_supplier, suppliers, "s_suppkey")
+        lookup_join(per_supplier, suppliers, "s_suppkey", lookup_bytes=supplier_bytes)
         .groupBy("l_returnflag")
         .pivot("s_nationkey", nations)
         .agg(F.sum("l_quantity"))
-        .withColumn(RAW_GENE_COLUMN, names[F.col("l_returnflag")])
+        .withColumn(RAW_GENE_COLUMN, F.expr(f"CASE l_returnflag {cases} END"))
     )
     return _as_samples(genes).unionByName(_as_samples(summary))
 
 
 def gtf_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The nine GTF fields, as text, of all lines of all parts."""
-    is_gene = F.col("p_brand") != PSEUDOGENE_BRAND
-    attributes = F.concat_ws(
-        " ",
-        F.concat(F.lit('gene_id "'), _part_accession("p_partkey"), F.lit('"; gene_version "1";')),
-        F.when(
-            F.col("p_type") != NAMELESS_TYPE,
-            F.concat(F.lit('gene_name "'), F.col("p_name"), F.lit('";')),
-        ),
-        F.concat(F.lit('gene_biotype "'), F.col("p_type"), F.lit('";')),
-    )
-    features = F.array_compact(
-        F.array(
-            F.when(is_gene, "gene").otherwise("pseudogene"),
-            F.lit("transcript"),
-            F.when(is_gene & (F.col("p_size") == DOUBLED_SIZE), "gene"),
-        )
-    )
+    is_gene = f"p_brand <> '{PSEUDOGENE_BRAND}'"
     fields = {
-        "chrom": (F.col("p_size") % 22 + 1).cast("string"),
-        "source": F.lit("havana"),
-        "feature": F.explode(features),
-        "start": F.col("p_partkey").cast("string"),
-        "end": (F.col("p_partkey") + F.col("p_size")).cast("string"),
-        "score": F.lit("."),
-        "strand": F.when(F.col("p_partkey") % 2 == 0, "+").otherwise("-"),
-        "frame": F.lit("."),
-        "attributes": attributes,
+        "chrom": "CAST(p_size % 22 + 1 AS string)",
+        "source": "'havana'",
+        "feature": f"""explode(array_compact(array(
+            if({is_gene}, 'gene', 'pseudogene'),
+            'transcript',
+            if({is_gene} AND p_size = {DOUBLED_SIZE}, 'gene', NULL))))""",
+        "start": "CAST(p_partkey AS string)",
+        "end": "CAST(p_partkey + p_size AS string)",
+        "score": "'.'",
+        "strand": "if(p_partkey % 2 = 0, '+', '-')",
+        "frame": "'.'",
+        "attributes": f"""concat_ws(' ',
+            concat('gene_id "', {_accession("p_partkey")}, '"; gene_version "1";'),
+            if(p_type <> '{NAMELESS_TYPE}', concat('gene_name "', p_name, '";'), NULL),
+            concat('gene_biotype "', p_type, '";'))""",
     }
     parts = read_source(spark, sf_dir, "part")
-    return parts.select(*[fields[name].alias(name) for name in GTF_COLUMNS])
+    return parts.selectExpr(*[f"{fields[name]} AS `{name}`" for name in GTF_COLUMNS])
 
 
 def write_gtf(spark: SparkSession, sf_dir: str, path: str) -> str:
@@ -138,7 +127,7 @@ def write_raw_matrix(spark: SparkSession, sf_dir: str, path: str) -> str:
     """Stores the matrix as a folder of JSON array documents, one per task."""
     matrix = raw_matrix(spark, sf_dir)
     records = matrix.select(
-        F.to_json(F.struct(*matrix.columns), {"ignoreNullFields": "false"}).alias("value")
+        F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value")
     )
     records.mapInPandas(_array_document, "value string").write.text(path)
     return path
