@@ -1,0 +1,278 @@
+from __future__ import annotations
+
+import itertools
+import math
+import random
+
+import numpy as np
+import pytest
+from pyspark.ml.functions import vector_to_array
+
+from matrixmill.operators import modeling as m
+
+SAMPLE_SCHEMA = (
+    "sample_uuid string, library_size double, avg_count double, num_zero_genes double, "
+    "num_detected_genes double, pct_zero_genes double"
+)
+GENES = 1000
+
+
+def sample_row(name, library_size, zeros, genes=GENES):
+    return (name, library_size, library_size / genes, zeros, genes - zeros, zeros / genes)
+
+
+@pytest.fixture(scope="module")
+def samples(spark):
+    draw = random.Random(7)
+    data = [
+        sample_row(f"s{i:02d}", float(draw.randint(10_000, 90_000)), float(draw.randint(100, 900)))
+        for i in range(40)
+    ]
+    return m.checkpointed(spark.createDataFrame(data, SAMPLE_SCHEMA))
+
+
+@pytest.fixture(scope="module")
+def unsupervised(samples):
+    return m.fit_pca_kmeans(samples)
+
+
+def as_matrix(df):
+    ordered = df.orderBy("sample_uuid").select(*m.FEATURE_COLUMNS).collect()
+    return np.array([tuple(row) for row in ordered])
+
+
+# The sample table.
+
+
+def counts_of(spark, **samples):
+    data = [
+        (name, f"ENSG{i}", count) for name, counts in samples.items() for i, count in enumerate(counts)
+    ]
+    return spark.createDataFrame(data, "sample_uuid string, gene_id string, count double")
+
+
+def test_modelling_features(spark, rows):
+    df = m.build_modeling_features(counts_of(spark, a=[100.0, 300.0, 0.0, 0.0]))
+    assert df.columns == [
+        "sample_uuid", "library_size", "avg_count", "num_zero_genes", "num_detected_genes",
+        "pct_zero_genes",
+    ]
+    assert {kind for name, kind in df.dtypes if name != "sample_uuid"} == {"double"}
+    assert rows(df) == [("a", 400.0, 100.0, 2.0, 2.0, 0.5)]
+
+
+def test_target_is_a_multiple_of_a_feature(spark):
+    df = m.build_modeling_features(counts_of(spark, a=[100.0, 300.0, 0.0], b=[50.0, 25.0, 0.0]))
+    for row in df.collect():
+        assert row["library_size"] == pytest.approx(row["avg_count"] * 3)
+        assert row["num_zero_genes"] + row["num_detected_genes"] == 3
+
+
+def test_negative_counts_leave_the_share_empty(spark):
+    df = m.build_modeling_features(counts_of(spark, a=[-1.0]))
+    assert df.first()["pct_zero_genes"] is None
+
+
+def test_sample_table_is_stored_and_equal(spark, rows):
+    counts = counts_of(spark, a=[1.0, 0.0], b=[2.0, 2.0])
+    table = m.sample_table(counts)
+    assert rows(table) == rows(m.build_modeling_features(counts))
+    assert "Exchange" not in table._jdf.queryExecution().executedPlan().toString()
+
+
+def test_feature_vector_has_a_fixed_order(spark):
+    df = spark.createDataFrame([("a", 1000.0, 250.0, 1.0, 3.0, 0.25)], SAMPLE_SCHEMA)
+    row = m.to_feature_matrix(df).first()
+    assert list(row["features"]) == [250.0, 1.0, 3.0, 0.25]
+    assert row[m.TARGET_COLUMN] == 1000.0
+
+
+def test_missing_column_is_named(spark):
+    df = spark.createDataFrame([("a", 1000.0)], "sample_uuid string, library_size double")
+    with pytest.raises(KeyError, match="avg_count"):
+        m.to_feature_matrix(df)
+
+
+# Scaling, PCA and K-Means.
+
+
+def test_z_scores_use_the_population_deviation(samples):
+    scaled = m.scale_features(samples).orderBy("sample_uuid")
+    got = np.array([row[0] for row in scaled.select(vector_to_array("scaled")).collect()])
+    x = as_matrix(samples)
+    np.testing.assert_allclose(got, (x - x.mean(0)) / x.std(0), atol=1e-9)
+
+
+def test_constant_feature_is_scaled_to_zero(spark):
+    data = [sample_row("a", 100.0, 5.0), sample_row("b", 300.0, 5.0)]
+    rows = m.scale_features(spark.createDataFrame(data, SAMPLE_SCHEMA)).collect()
+    assert [list(row["scaled"])[1:] for row in rows] == [[0.0] * 3] * 2
+
+
+def test_pca_equals_a_singular_value_decomposition(samples, unsupervised):
+    x = as_matrix(samples)
+    z = (x - x.mean(0)) / x.std(0)
+    _, singular, directions = np.linalg.svd(z, full_matrices=False)
+    for row in directions:
+        row *= -1 if row[0] < 0 else 1
+    scored = unsupervised.scored.orderBy("sample_uuid").select("PC1", "PC2").collect()
+    np.testing.assert_allclose(np.array(scored), z @ directions[:2].T, atol=1e-9)
+    ratios = singular**2 / (singular**2).sum()
+    np.testing.assert_allclose(unsupervised.explained_variance_ratio, ratios[:2], atol=1e-12)
+
+
+def test_two_components_explain_everything(unsupervised):
+    assert sum(unsupervised.explained_variance_ratio) == pytest.approx(1.0)
+
+
+def test_three_clusters_numbered_by_mean_count(unsupervised):
+    means = (
+        unsupervised.scored.groupBy("cluster").agg({"avg_count": "avg"}).orderBy("cluster").collect()
+    )
+    assert [row[0] for row in means] == [0, 1, 2]
+    assert [row[1] for row in means] == sorted(row[1] for row in means)
+
+
+def test_clusters_are_stable_under_lloyd_steps(samples, unsupervised):
+    """Each sample is nearest to the mean of its own cluster, in z-scores."""
+    x = as_matrix(samples)
+    z = (x - x.mean(0)) / x.std(0)
+    labels = np.array(
+        [r["cluster"] for r in unsupervised.scored.orderBy("sample_uuid").collect()]
+    )
+    centres = np.array([z[labels == c].mean(0) for c in range(3)])
+    nearest = ((z[:, None] - centres) ** 2).sum(2).argmin(1)
+    assert (nearest == labels).all()
+
+
+def test_separate_groups_are_found_as_by_brute_force(spark):
+    data = [
+        sample_row(f"{group}{i}", base + i, zeros + i)
+        for group, base, zeros in (("a", 1e3, 800.0), ("b", 5e4, 500.0), ("c", 9e4, 100.0))
+        for i in range(3)
+    ]
+    df = spark.createDataFrame(data, SAMPLE_SCHEMA)
+    scored = m.fit_pca_kmeans(df).scored.orderBy("sample_uuid").collect()
+    got = [row["cluster"] for row in scored]
+
+    x = np.array([row[2:] for row in sorted(data)])
+    z = (x - x.mean(0)) / x.std(0)
+
+    def cost(labels):
+        return sum(
+            ((z[members] - z[members].mean(0)) ** 2).sum()
+            for c in range(3)
+            if (members := np.flatnonzero(np.array(labels) == c)).size
+        )
+
+    best = min(itertools.product(range(3), repeat=9), key=cost)
+    assert cost(got) == pytest.approx(cost(best))
+    assert got == [0, 0, 0, 1, 1, 1, 2, 2, 2]
+
+
+# Split.
+
+
+def test_split_has_the_exact_size_and_loses_nothing(samples, rows):
+    train, test = m.train_test_split(samples)
+    assert (train.count(), test.count()) == (32, 8)
+    assert rows(train.union(test)) == rows(samples)
+
+
+@pytest.mark.parametrize(("n", "size", "expected"), [(1, 0.2, 1), (11, 0.2, 3), (10, 0.25, 3)])
+def test_test_size_is_rounded_up(spark, n, size, expected):
+    df = spark.range(n).selectExpr("CAST(id AS string) AS sample_uuid")
+    assert m.assign_split(df, size).filter("is_test").count() == expected
+
+
+def test_split_ignores_partitioning_and_equals_a_full_sort(spark, rows):
+    from hashlib import md5
+
+    names = [f"sample {i}" for i in range(3000)]
+    df = spark.createDataFrame([(name,) for name in names], "sample_uuid string")
+    one = rows(m.train_test_split(df.coalesce(1))[1])
+    many = rows(m.train_test_split(df.repartition(8))[1])
+    ranked = sorted(names, key=lambda name: (md5(f"{name}:42".encode()).hexdigest(), name))
+    assert one == many == sorted((name,) for name in ranked[:600])
+
+
+def test_other_seed_gives_another_split(samples, rows):
+    assert rows(m.train_test_split(samples)[1]) != rows(m.train_test_split(samples, random_state=1)[1])
+
+
+# Metrics.
+
+
+def pairs(spark, *values):
+    return spark.createDataFrame(list(values), "y_true double, y_pred double")
+
+
+def test_metrics_by_hand(spark):
+    got = m.regression_metrics(
+        pairs(spark, (100.0, 110.0), (200.0, 190.0), (300.0, 310.0), (400.0, 390.0))
+    )
+    assert list(got) == ["r2", "mae", "mse", "rmse", "mape"]
+    assert got == pytest.approx(
+        {"r2": 0.992, "mae": 10.0, "mse": 100.0, "rmse": 10.0, "mape": 5.208333333333333}
+    )
+
+
+def test_metrics_of_a_perfect_prediction(spark):
+    got = m.regression_metrics(pairs(spark, (1.0, 1.0), (2.0, 2.0), (3.0, 3.0)))
+    assert got == {"r2": 1.0, "mae": 0.0, "mse": 0.0, "rmse": 0.0, "mape": 0.0}
+
+
+def test_zero_target_has_no_mape(spark):
+    with pytest.raises(ValueError, match="MAPE"):
+        m.regression_metrics(pairs(spark, (0.0, 1.0), (1.0, 1.0)))
+
+
+def test_constant_target_has_no_r2(spark):
+    got = m.regression_metrics(pairs(spark, (2.0, 1.0), (2.0, 3.0)))
+    assert got["r2"] is None
+    assert got["mae"] == 1.0
+
+
+# Forest and prediction table.
+
+
+@pytest.fixture(scope="module")
+def supervised(samples):
+    return m.train_library_size_model(samples, n_estimators=20)
+
+
+def test_forest_predicts_every_sample(samples, supervised):
+    scored = supervised.scored
+    assert scored.columns == [*samples.columns, "pred_library_size"]
+    assert scored.count() == samples.count()
+    assert supervised.model.getNumTrees == 20
+
+
+def test_forest_metrics_are_those_of_the_test_rows(samples, supervised):
+    _, test = m.train_test_split(samples)
+    held_out = test.join(supervised.scored.select("sample_uuid", "pred_library_size"), "sample_uuid")
+    errors = [row["library_size"] - row["pred_library_size"] for row in held_out.collect()]
+    assert supervised.metrics["mse"] == pytest.approx(sum(e * e for e in errors) / len(errors))
+    assert supervised.metrics["rmse"] == pytest.approx(math.sqrt(supervised.metrics["mse"]))
+    assert supervised.metrics["r2"] > 0.9
+
+
+def test_prediction_table(spark, rows):
+    draw = random.Random(3)
+    norm = counts_of(
+        spark,
+        **{f"s{i}": [float(draw.choice([0, 0, 1, 5, 40 * i])) for _ in range(30)] for i in range(1, 16)},
+    )
+    table, metrics = m.run_modeling(norm, n_estimators=5)
+    assert table.columns == [
+        "sample_uuid", "library_size", "avg_count", "num_zero_genes", "num_detected_genes",
+        "pct_zero_genes", "PC1", "PC2", "cluster", "pred_library_size", "target_library_size",
+        "model_r2", "model_rmse",
+    ]
+    collected = table.collect()
+    assert len(collected) == 15
+    assert {row["cluster"] for row in collected} == {0, 1, 2}
+    assert all(row["target_library_size"] == row["library_size"] for row in collected)
+    assert {(row["model_r2"], row["model_rmse"]) for row in collected} == {
+        (metrics["r2"], metrics["rmse"])
+    }
