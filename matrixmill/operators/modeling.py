@@ -267,7 +267,8 @@ def train_library_size_model(
     in-sample. ``df`` is read several times, so pass a stored or checkpointed table.
     """
     vectors = to_feature_matrix(df)
-    train, test = train_test_split(vectors, test_size, random_state, sample_column)
+    split = checkpointed(assign_split(vectors, test_size, random_state, sample_column))
+    train, test = split.filter(~F.col("is_test")), split.filter(F.col("is_test"))
     forest = RandomForestRegressor(
         featuresCol=FEATURES,
         labelCol=TARGET_COLUMN,
