@@ -12,12 +12,17 @@ features are collinear and two components explain all variance.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
 from typing import NamedTuple
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import PCA, ElementwiseProduct, StandardScaler, VectorAssembler
+from pyspark.ml.clustering import KMeans, KMeansModel
+from pyspark.ml.feature import (
+    PCA,
+    ElementwiseProduct,
+    PCAModel,
+    StandardScaler,
+    VectorAssembler,
+)
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
@@ -94,14 +99,16 @@ def _require_columns(df: DataFrame) -> None:
         raise KeyError(f"The sample table lacks {missing}")
 
 
-def _scaler_stages(num_rows: int) -> list:
-    """z-scores with the population standard deviation.
+def fit_scaler(df: DataFrame) -> PipelineModel:
+    """Stages that add the vector ``scaled`` of z-scores with the population deviation.
 
     Spark's scaler divides by the sample standard deviation, which differs by one
     factor for all features.
     """
+    _require_columns(df)
+    num_rows = df.count()
     factor = math.sqrt(num_rows / (num_rows - 1)) if num_rows > 1 else 1.0
-    return [
+    stages = [
         VectorAssembler(inputCols=list(FEATURE_COLUMNS), outputCol=FEATURES),
         StandardScaler(inputCol=FEATURES, outputCol="centred", withMean=True, withStd=True),
         ElementwiseProduct(
@@ -110,12 +117,42 @@ def _scaler_stages(num_rows: int) -> list:
             scalingVec=Vectors.dense([factor] * len(FEATURE_COLUMNS)),
         ),
     ]
+    return Pipeline(stages=stages).fit(df)
 
 
 def scale_features(df: DataFrame) -> DataFrame:
-    """Adds the vector ``scaled`` of z-scores; a constant feature becomes 0."""
-    _require_columns(df)
-    return Pipeline(stages=_scaler_stages(df.count())).fit(df).transform(df)
+    """Adds the vector ``scaled``; a constant feature becomes 0."""
+    return fit_scaler(df).transform(df).drop(FEATURES, "centred")
+
+
+def fit_projection(
+    scaled: DataFrame, n_components: int = N_COMPONENTS
+) -> tuple[DataFrame, PCAModel]:
+    """Adds ``PC1…``, each pointing towards larger ``avg_count``."""
+    model = PCA(k=n_components, inputCol=SCALED, outputCol="projected").fit(scaled)
+    projected = vector_to_array("projected")
+    components = {
+        f"PC{i + 1}": projected[i] * (-1.0 if loading < 0 else 1.0)
+        for i, loading in enumerate(model.pc.toArray()[0])
+    }
+    return model.transform(scaled).withColumns(components).drop("projected"), model
+
+
+def fit_clusters(
+    scaled: DataFrame, n_clusters: int = N_CLUSTERS, random_state: int = RANDOM_STATE
+) -> tuple[DataFrame, KMeansModel]:
+    """Adds ``cluster``, numbered by ascending ``avg_count`` of the cluster's centre."""
+    model = KMeans(
+        k=n_clusters,
+        seed=random_state,
+        maxIter=KMEANS_ITERATIONS,
+        featuresCol=SCALED,
+        predictionCol="raw_cluster",
+    ).fit(scaled)
+    centres = [tuple(centre) for centre in model.clusterCenters()]
+    ranks = F.array(*[F.lit(sorted(centres).index(centre)) for centre in centres])
+    numbered = model.transform(scaled).withColumn("cluster", F.get(ranks, F.col("raw_cluster")))
+    return numbered.drop("raw_cluster"), model
 
 
 def fit_pca_kmeans(
@@ -126,41 +163,17 @@ def fit_pca_kmeans(
 ) -> UnsupervisedFit:
     """Projects the z-scores and clusters them (the z-scores, not the projection).
 
-    Both results are made unique: each component points towards larger ``avg_count``,
-    and clusters are numbered by ascending ``avg_count`` of their centre. ``df`` is
-    read several times, so pass a stored or checkpointed table.
+    ``df`` is read several times, so pass a stored or checkpointed table.
     """
-    _require_columns(df)
-    estimators = [
-        PCA(k=n_components, inputCol=SCALED, outputCol="projected"),
-        KMeans(
-            k=n_clusters,
-            seed=random_state,
-            maxIter=KMEANS_ITERATIONS,
-            featuresCol=SCALED,
-            predictionCol="raw_cluster",
-        ),
-    ]
-    model = Pipeline(stages=_scaler_stages(df.count()) + estimators).fit(df)
-    pca, kmeans = model.stages[-2:]
-
-    projected = vector_to_array("projected")
-    towards_avg_count = [-1.0 if loading < 0 else 1.0 for loading in pca.pc.toArray()[0]]
-    components = {
-        f"PC{i + 1}": projected[i] * sign for i, sign in enumerate(towards_avg_count)
-    }
-    by_avg_count = sorted(
-        range(len(kmeans.clusterCenters())), key=lambda c: tuple(kmeans.clusterCenters()[c])
-    )
-    number = {raw: rank for rank, raw in enumerate(by_avg_count)}
-    ranks = F.array(*[F.lit(number[raw]) for raw in range(len(number))])
-
-    scored = model.transform(df).select(
-        *df.columns,
-        *[column.alias(name) for name, column in components.items()],
-        F.get(ranks, F.col("raw_cluster")).alias("cluster"),
+    scaler = fit_scaler(df)
+    scaled = scaler.transform(df).drop(FEATURES, "centred")
+    projected, pca = fit_projection(scaled, n_components)
+    clustered, kmeans = fit_clusters(projected, n_clusters, random_state)
+    return UnsupervisedFit(
+        clustered.drop(SCALED),
+        [float(ratio) for ratio in pca.explainedVariance],
+        PipelineModel(stages=[*scaler.stages, pca, kmeans]),
     )
-    return UnsupervisedFit(scored, [float(v) for v in pca.explainedVariance], model)
 
 
 def assign_split(

@@ -71,6 +71,10 @@ def _samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return modeling.sample_table(_normalized(spark, sf_dir))
 
 
+def _scaled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return modeling.scale_features(_samples(spark, sf_dir))
+
+
 def _ratio_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Test rows with a prediction SQL can repeat: library size per detected gene in training."""
     train, test = modeling.train_test_split(_samples(spark, sf_dir))
@@ -214,7 +218,7 @@ def modeling_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scaled_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = modeling.scale_features(_samples(spark, sf_dir))
+    df = _scaled(spark, sf_dir)
     scores = vector_to_array(modeling.SCALED)
     names = [f"z_{name}" for name in modeling.FEATURE_COLUMNS]
     scaled = df.select(SAMPLE, *[scores[i].alias(name) for i, name in enumerate(names)])
@@ -222,13 +226,13 @@ def scaled_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pca_components(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = modeling.fit_pca_kmeans(_samples(spark, sf_dir)).scored
-    return _rounded(scored.select(SAMPLE, "PC1", "PC2"), "PC1", "PC2")
+    projected, _ = modeling.fit_projection(_scaled(spark, sf_dir))
+    return _rounded(projected.select(SAMPLE, "PC1", "PC2"), "PC1", "PC2")
 
 
 def pca_variance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ratios = modeling.fit_pca_kmeans(_samples(spark, sf_dir)).explained_variance_ratio
-    rows = [(f"PC{i + 1}", ratio) for i, ratio in enumerate(ratios)]
+    _, model = modeling.fit_projection(_scaled(spark, sf_dir))
+    rows = [(f"PC{i + 1}", float(ratio)) for i, ratio in enumerate(model.explainedVariance)]
     return _rounded(
         spark.createDataFrame(rows, "component string, explained_variance_ratio double"),
         "explained_variance_ratio",
@@ -236,7 +240,7 @@ def pca_variance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def kmeans_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return modeling.fit_pca_kmeans(_samples(spark, sf_dir)).scored.select(SAMPLE, "cluster")
+    return modeling.fit_clusters(_scaled(spark, sf_dir))[0].select(SAMPLE, "cluster")
 
 
 def train_test_split(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -281,7 +285,7 @@ def cluster_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def kmeans_cluster_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.cluster_profile(modeling.fit_pca_kmeans(_samples(spark, sf_dir)).scored)
+    return reports.cluster_profile(modeling.fit_clusters(_scaled(spark, sf_dir))[0])
 
 
 def counts_by_gene_name(spark: SparkSession, sf_dir: str) -> DataFrame:
