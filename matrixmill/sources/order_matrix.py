@@ -14,9 +14,6 @@ matrix the quirks real exports have:
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +29,9 @@ PSEUDOGENE_BRAND = "Brand#2"
 NAMELESS_TYPE = "SMALL"
 DOUBLED_SIZE = 50
 
+#: About how many genes share one JSON document of the stored matrix.
+RECORDS_PER_DOCUMENT = 10_000
+
 
 def raw_sample_name(nation: int) -> str:
     return f"nat-{nation:02d}"
@@ -124,25 +124,21 @@ def write_gtf(spark: SparkSession, sf_dir: str, path: str) -> str:
 
 
 def write_raw_matrix(spark: SparkSession, sf_dir: str, path: str) -> str:
-    """Stores the matrix as a folder of JSON array documents, one per task."""
-    matrix = raw_matrix(spark, sf_dir)
-    records = matrix.select(
-        F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value")
+    """Stores the matrix as a folder of JSON array documents, one per file.
+
+    Genes are unique, so hashing them gives documents of about equal length, and the
+    same ones whenever a task is repeated.
+    """
+    num_parts = read_source(spark, sf_dir, "part").count()
+    num_documents = num_parts // RECORDS_PER_DOCUMENT + 1
+    document = F.pmod(F.xxhash64(f"`{RAW_GENE_COLUMN}`"), F.lit(num_documents))
+    record = F.to_json(F.struct("*"), {"ignoreNullFields": "false"})
+    documents = (
+        raw_matrix(spark, sf_dir)
+        .select(document.alias("document"), record.alias("record"))
+        .groupBy("document")
+        .agg(F.array_join(F.collect_list("record"), ",\n").alias("records"))
+        .select(F.concat(F.lit("["), "records", F.lit("]")).alias("value"))
     )
-    records.mapInPandas(_array_document, "value string").write.text(path)
+    documents.write.option("maxRecordsPerFile", 1).text(path)
     return path
-
-
-def _array_document(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Brackets and commas around the records of one task, batch by batch."""
-    opening = "["
-    for batch in batches:
-        if batch.empty:
-            continue
-        records = batch["value"].copy()
-        records.iloc[0] = opening + records.iloc[0]
-        records.iloc[1:] = "," + records.iloc[1:]
-        opening = ","
-        yield pd.DataFrame({"value": records})
-    if opening == ",":
-        yield pd.DataFrame({"value": ["]"]})
