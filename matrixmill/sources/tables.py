@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from functools import partial
 from urllib.parse import unquote, urlsplit
@@ -100,14 +99,13 @@ def _refuse_own_source(df: DataFrame, path: str) -> None:
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local master may go without the setting; it then gets a temporary folder.
+    Where the setting is missing, a folder below ``spark.sql.warehouse.dir`` is taken, for
+    every master alike: tables are kept there, so executors share it.
     """
     context = spark.sparkContext
     folder = spark.conf.get(_CHECKPOINT_DIR, None) or context.getCheckpointDir()
     if not folder:
-        if not context.master.startswith("local"):
-            raise RuntimeError(f"Set {_CHECKPOINT_DIR} to a folder all executors share.")
-        folder = tempfile.mkdtemp(prefix="matrixmill-")
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_intermediate"
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return folder
