@@ -44,6 +44,8 @@ MIN_EVIDENCE = 40.0
 MIN_SHARE = 0.9
 MIN_SURROUNDINGS = 8
 MAX_MARKS = 20_000
+#: Share of a beginning's surroundings from which on a longer mark replaces it.
+NARROWER = 0.95
 
 #: Labels to learn from; the others are held out.
 TRAINING = "pmod(crc32(CAST(CAST(doc_id AS string) AS binary)), 3) <> 1"
@@ -51,7 +53,6 @@ TRAINING = "pmod(crc32(CAST(CAST(doc_id AS string) AS binary)), 3) <> 1"
 TAGGED = 0.5
 REJECTED = 0.7
 
-_EDGE = r"^[\p{Punct}\p{S}]+|[\p{Punct}\p{S}]+$"
 _EDGES = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "«»“”‘’„…–—¿¡"
 _WORD = re.compile(r"\S+")
 
@@ -97,7 +98,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, usable: str) -> DataFram
 def _marks(sample: DataFrame) -> DataFrame:
     """``(feature)`` of word forms and beginnings that mark toxic words."""
     raw = F.filter(F.split(F.col("text"), r"\s+"), lambda word: word != "")
-    words = F.transform(raw, lambda word: F.lower(F.regexp_replace(word, _EDGE, "")))
+    words = F.transform(raw, lambda word: F.lower(F.btrim(word, F.lit(_EDGES))))
     places = sample.select("toxic", words.alias("words")).select(
         "toxic", "words", F.posexplode("words").alias("at", "word")
     )
@@ -127,10 +128,25 @@ def _marks(sample: DataFrame) -> DataFrame:
         by_feature.filter((share >= MIN_SHARE) & (evidence >= MIN_EVIDENCE))
         .orderBy(evidence.desc(), "feature")
         .limit(MAX_MARKS)
-        .select("feature")
+        .select("feature", "ones")
     )
 
 
+def _narrowest(marks: dict[str, int]) -> frozenset[str]:
+    """Marks without the beginnings whose surroundings are almost all those of a longer mark.
+
+    Such a beginning says no more than the longer one, but would also fit other words.
+    """
+    within: dict[str, int] = {}
+    for feature, ones in marks.items():
+        word = feature[1:]
+        for n in STEMS:
+            if n < len(word) or (n == len(word) and feature[0] == "="):
+                stem = f"{n}{word[:n]}"
+                within[stem] = max(within.get(stem, 0), ones)
+    return frozenset(f for f, ones in marks.items() if within.get(f, 0) < NARROWER * ones)
+
+
 def _chains(sample: DataFrame, marks: frozenset) -> DataFrame:
     """Up to :data:`MAX_CHAINS` chains as ``(words, labels)``: half of them with a marked word."""
 
@@ -171,7 +187,7 @@ def fit_model(docs: DataFrame, labels: DataFrame, usable: str = "true") -> Toxic
     ``docs`` has ``doc_id`` and ``text``, ``labels`` has ``doc_id`` and ``toxic``.
     """
     sample = labelled_sample(docs, labels, usable)
-    marks = frozenset(row["feature"] for row in _marks(sample).collect())
+    marks = _narrowest({row["feature"]: row["ones"] for row in _marks(sample).collect()})
     if not marks:
         return ToxicityModel({}, -50.0, crf.Transitions(0.0, 0.0, 0.0))
     rows = _chains(sample, marks).collect()

@@ -1,0 +1,97 @@
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import pytest
+
+from matrixmill.llm import decontaminate
+
+
+def vocabulary_text(chance: random.Random, number: int) -> list[str]:
+    return ["".join(chance.choices("abcdefghij", k=chance.randint(2, 6))) for _ in range(number)]
+
+
+def plain_overlap(words: list[str], item: list[str]) -> bool:
+    """Whether any diagonal has a window that agrees enough."""
+    span = min(decontaminate.WINDOW, len(item))
+    for shift in range(-len(item) + span, len(words) - span + 1):
+        low, high = max(0, shift), min(len(words), shift + len(item))
+        agree = [words[i] == item[i - shift] for i in range(low, high)]
+        if any(sum(agree[k : k + span]) >= decontaminate.AGREEMENT * span for k in range(len(agree) - span + 1)):
+            return True
+    return False
+
+
+@pytest.fixture(scope="module")
+def planted(spark):
+    """Items, and documents with whole, changed, shortened and no passages of them."""
+    chance = random.Random(5)
+    items = [vocabulary_text(chance, chance.randint(8, 60)) for _ in range(30)]
+    docs = []
+    for number in range(150):
+        words = vocabulary_text(chance, chance.randint(0, 200))
+        if number % 3:
+            passage = list(chance.choice(items))
+            for _ in range(number % 4):
+                passage[chance.randrange(len(passage))] = "other"
+            cut = chance.randint(0, len(passage) // 2)
+            at = chance.randint(0, len(words))
+            words[at:at] = passage[cut:]
+        docs.append(words)
+    docs += [[], items[0][:5]]
+    shown = lambda words: " ".join(w.upper() if i % 5 == 0 else f"{w}," if i % 7 == 0 else w for i, w in enumerate(words))
+    frame = spark.createDataFrame([(i, shown(w)) for i, w in enumerate(docs)], "doc_id long, text string")
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string")
+    return docs, items, frame, bench
+
+
+@pytest.mark.parametrize("slice_words", [200, 1_000_000])
+def test_overlaps_are_right_and_hardly_any_is_missed(planted, monkeypatch, slice_words):
+    monkeypatch.setattr(decontaminate, "SLICE_WORDS", slice_words)
+    docs, items, frame, bench = planted
+    rows = decontaminate.find_overlaps(frame, bench).collect()
+    found = {(row["doc_id"], row["item_id"]) for row in rows}
+    assert len(found) == len(rows)
+    expected = {(i, j) for i, words in enumerate(docs) for j, item in enumerate(items) if plain_overlap(words, item)}
+    assert found <= expected
+    # Of windows with three substitutions a few have no seed left.
+    assert len(expected - found) <= 0.03 * len(expected)
+    kept = decontaminate.drop_contaminated(frame, bench)
+    assert {row["doc_id"] for row in kept.collect()} == set(range(len(docs))) - {i for i, _ in found}
+
+
+def test_every_window_with_one_substitution_has_a_seed():
+    for length in range(decontaminate.SHORTEST_ITEM, 60):
+        words = np.arange(1, length + 1, dtype=np.uint64) * np.uint64(7919)
+        for spot in range(length):
+            other = words.copy()
+            other[spot] = 0
+            index = decontaminate.build_index([(0, words.view(np.int64))])
+            hits = decontaminate._diagonals(other, index, *decontaminate._filter(index.seeds))
+            assert (0, 0) in hits or length < 13
+
+
+def test_long_items_are_found_at_every_place(spark):
+    chance = random.Random(8)
+    item = vocabulary_text(chance, 5000)
+    bench = spark.createDataFrame([(1, " ".join(item)), (2, None), (3, "too short")], "item_id long, text string")
+    docs = [(k, " ".join(item[k : k + 13])) for k in range(0, 4987, 37)]
+    rows = decontaminate.find_overlaps(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()
+    assert {(row["doc_id"], row["item_id"]) for row in rows} == {(k, 1) for k, _ in docs}
+    assert len(rows) == len(docs)
+
+
+def test_awkward_rows(spark, awkward, no_documents):
+    bench = spark.createDataFrame(
+        [(None, "long word long word long word long word long word long word long word"), (3, ""), (3, "")],
+        "item_id long, text string",
+    )
+    rows = decontaminate.find_overlaps(awkward, bench).collect()
+    assert [(row["doc_id"], row["item_id"]) for row in rows] == [(5, None)]
+    kept = decontaminate.drop_contaminated(awkward, bench)
+    assert kept.columns == awkward.columns and kept.count() == 8
+    assert decontaminate.find_overlaps(no_documents, bench).collect() == []
+    nothing = bench.limit(0)
+    assert decontaminate.find_overlaps(awkward, nothing).collect() == []
+    assert decontaminate.drop_contaminated(awkward, nothing).count() == 9

@@ -1,0 +1,77 @@
+from __future__ import annotations
+
+import zlib
+from functools import cache
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from matrixmill.llm import packing
+
+tokenizers = pytest.importorskip("tokenizers")
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    return tokenizers.Tokenizer.from_file(packing.vocabulary_path())
+
+
+@cache
+def both_tokenizers():
+    path = packing.vocabulary_path()
+    return packing.WordTokenizer(path), tokenizers.Tokenizer.from_file(path)
+
+
+def joined(rows) -> dict:
+    """Ids by document, put together from the pieces."""
+    parts: dict = {}
+    for row in sorted(rows, key=lambda row: row["start"]):
+        ids = parts.setdefault(row["doc_id"], [])
+        assert row["start"] == len(ids)
+        ids += np.frombuffer(row["ids"], "<u4").tolist()
+    return parts
+
+
+def test_pieces_give_back_the_ids(documents, texts, tokenizer):
+    rows = packing.pack(documents).collect()
+    assert joined(rows) == {
+        key: [*tokenizer.encode(text or "", add_special_tokens=False).ids, 1] for key, text in texts.items()
+    }
+    assert all(row["length"] == len(row["ids"]) // 4 == 1 << row["bucket"] for row in rows)
+    assert all(row["length"] <= 2048 and row["offset"] == 0 for row in rows)
+    assert len({row["sequence_id"] for row in rows}) == len(rows)
+
+
+def test_query_has_the_checksum_of_the_ids(spark, data, tokenizer, texts):
+    from matrixmill.llm.queries import op3_pack
+
+    for row in op3_pack(spark, data).limit(50).collect():
+        ids = [*tokenizer.encode(texts[row["doc_id"]], add_special_tokens=False).ids, 1]
+        own = np.array(ids[row["start"] : row["start"] + row["length"]], "<u4").tobytes()
+        assert (row["ids_crc32"], row["doc_tokens"]) == (zlib.crc32(own), len(ids))
+
+
+@given(st.text(max_size=60) | st.text(alphabet=" \t\n'sAÉß<|>startofex́  \x1c", max_size=60))
+@settings(max_examples=300, deadline=None)
+def test_words_are_tokenised_like_whole_texts(text):
+    own, whole = both_tokenizers()
+    assert own.ids(text).tolist() == whole.encode(text, add_special_tokens=False).ids
+
+
+@given(st.integers(1, 100_000), st.integers(0, 12))
+def test_lengths_are_powers_of_two(tokens, bits):
+    lengths = packing.piece_lengths(tokens, 1 << bits)
+    assert sum(lengths) == tokens
+    assert all(length & (length - 1) == 0 and length <= 1 << bits for length in lengths)
+    assert lengths == sorted(lengths, reverse=True)
+
+
+def test_awkward_rows(awkward, no_documents, tokenizer):
+    rows = packing.pack(awkward).collect()
+    assert sum(row["length"] for row in rows if row["doc_id"] == 1) == 2
+    assert {row["doc_id"] for row in rows} == {None, 1, 2, 3, 4, 5, 6}
+    assert packing.pack(no_documents).collect() == []
+    with pytest.raises(ValueError, match="power of two"):
+        packing.pack(awkward, longest=1000)
