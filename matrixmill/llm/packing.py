@@ -15,7 +15,8 @@ never joins; memory is the text and its ids.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import chain
+from functools import cache
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -28,10 +29,26 @@ MAX_TOKENS = 2048
 END_ID = 1
 VOCABULARY = "word_bpe_49k.json"
 
-#: Words whose ids one task remembers before it starts afresh.
-REMEMBERED_WORDS = 200_000
+#: Words whose ids one worker remembers before it starts afresh, about 200 bytes each.
+REMEMBERED_WORDS = 600_000
 _TOKEN_BYTES = 4
 
+#: Punctuation that may end a word of letters without changing how the letters are cut.
+_ENDINGS = ".,;:!?#$%&*|\"()-"
+
+
+def _shown_bytes() -> list[str]:
+    """The character that byte-level vocabularies show each byte as.
+
+    Printable bytes stand for themselves, the others for the characters from 256 on.
+    """
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = iter(range(256, 512))
+    return [chr(byte) if byte in plain else chr(next(others)) for byte in range(256)]
+
+
+_SHOWN_BYTES = _shown_bytes()
+
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
     import public_tokenizers
@@ -42,26 +59,63 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
 class WordTokenizer:
     """Ids of texts from a word-level BPE file: it drops white space, so no id spans a space.
 
-    Texts are therefore cut at spaces and each word is encoded once and remembered.
+    Texts are therefore cut at spaces and each word is encoded once and remembered. A word of
+    letters with punctuation behind it is two words to the vocabulary, so it is put together
+    from them, and letters go to the model directly, in the form the file prepares them in.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._ids: dict[str, list[int]] = {}
+        self._model = self._tokenizer.model
+        self._known: dict[str, bytes] = {"": b""}
+
+    def _letters(self, word: str) -> bytes | None:
+        """Ids of a word of letters only, or nothing where its prepared form is less certain."""
+        lowered = word.lower()
+        if not (word.isascii() or ("\u03a3" not in word and is_normalized("NFC", word) and lowered.isalpha())):
+            return None
+        shown = "".join([_SHOWN_BYTES[byte] for byte in lowered.encode()])
+        return np.array([token.id for token in self._model.tokenize(shown)], "<u4").tobytes()
+
+    def _encode(self, word: str) -> bytes:
+        known, found = self._known, None
+        letters = word.rstrip(_ENDINGS)
+        if letters.isalpha():
+            found = known.get(letters)
+            if found is None:
+                found = self._letters(letters)
+            if found is not None and len(letters) < len(word):
+                known[letters] = found
+                ending = word[len(letters) :]
+                if ending not in known:
+                    known[ending] = self._whole(ending)
+                found += known[ending]
+        if found is None:
+            found = self._whole(word)
+        known[word] = found
+        return found
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def ids(self, text: str) -> bytes:
+        """The ids as little-endian unsigned 32-bit numbers."""
+        words = text.split(" ")
+        if len(self._known) > REMEMBERED_WORDS:
+            self._known = {"": b""}
+        found = list(map(self._known.get, words))
+        if None in found:
+            known, encode = self._known, self._encode
+            found = [known.get(w) or encode(w) if ids is None else ids for w, ids in zip(words, found, strict=True)]
+        return b"".join(found)
 
-    def _encode(self, words: list[str]) -> list[list[int]]:
-        return [x.ids for x in self._tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
-    def ids(self, text: str) -> np.ndarray:
-        words = text.split(" ")
-        known = self._ids
-        if len(known) > REMEMBERED_WORDS:
-            known.clear()
-        new = [word for word in dict.fromkeys(words) if word not in known]
-        known.update(zip(new, self._encode(new), strict=True))
-        return np.fromiter(chain.from_iterable(map(known.__getitem__, words)), "<u4")
+@cache
+def tokenizer_of(path: str) -> WordTokenizer:
+    """One tokenizer per worker process, so that what it remembers outlasts a task."""
+    return WordTokenizer(path)
 
 
 def piece_lengths(tokens: int, longest: int = MAX_TOKENS) -> list[int]:
@@ -88,20 +142,19 @@ def pack(
     """
     if longest < 1 or longest & (longest - 1):
         raise ValueError(f"The longest sequence must be a power of two, not {longest}.")
-    tokenizers: dict[str, WordTokenizer] = {}
+    end = np.uint32(end_id).astype("<u4").tobytes()
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        if not tokenizers:
-            tokenizers["own"] = WordTokenizer(path or vocabulary_path())
+        tokenizer = tokenizer_of(path or vocabulary_path())
         owner, starts, lengths, totals, pieces = [], [], [], [], []
         for row, text in enumerate(texts_of(batch.column(1))):
-            ids = np.append(tokenizers["own"].ids(text), np.uint32(end_id))
-            data, at = ids.tobytes(), 0
-            for length in piece_lengths(len(ids), longest):
+            data, at = tokenizer.ids(text) + end, 0
+            total = len(data) // _TOKEN_BYTES
+            for length in piece_lengths(total, longest):
                 owner.append(row)
                 starts.append(at)
                 lengths.append(length)
-                totals.append(len(ids))
+                totals.append(total)
                 pieces.append(data[_TOKEN_BYTES * at : _TOKEN_BYTES * (at + length)])
                 at += length
         yield pa.RecordBatch.from_arrays(
