@@ -103,8 +103,11 @@ def mark_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     rows = checkpointed(
         flagged.filter("possible").select("id", "sha", F.monotonically_increasing_id().alias("row"))
     )
-    groups = rows.groupBy("sha").agg(
-        F.max(F.struct("id", "row")).alias("best"), F.count(F.lit(1)).alias("group_size")
+    # Stored, so that the join back shuffles both sides and a hot text's rows can be split.
+    groups = checkpointed(
+        rows.groupBy("sha").agg(
+            F.max(F.struct("id", "row")).alias("best"), F.count(F.lit(1)).alias("group_size")
+        )
     )
     grouped = rows.join(groups, "sha").select(
         "id",
