@@ -101,9 +101,11 @@ def test_cluster_folder_comes_from_the_setting():
     assert tables.stage_path(cluster, "x").startswith("hdfs:///shared/checkpoints/staged/")
 
 
-def test_cluster_without_the_setting_gets_no_local_folder():
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        tables.shared_folder(_Cluster(None))
+def test_without_the_setting_the_warehouse_holds_the_folder():
+    for master in ("spark://host:7077", "local[2]", "local-cluster[2,1,1024]"):
+        cluster = _Cluster(None, master)
+        assert tables.shared_folder(cluster) == "hdfs:///warehouse/_intermediate"
+        assert cluster.set_to == "hdfs:///warehouse/_intermediate"
 
 
 def test_stage_paths_differ(spark):
