@@ -84,8 +84,8 @@ def add_features(parts: DataFrame) -> DataFrame:
     by_suffix = keyed.groupBy("suffix").agg(
         F.count(F.lit(1)).alias("urls"), F.avg(F.char_length("path")).alias("suffix_path_length")
     )
-    total = by_suffix.agg(F.sum("urls").alias("all_urls"))
-    by_suffix = checkpointed(by_suffix.crossJoin(F.broadcast(total)))
+    by_suffix = checkpointed(by_suffix)
+    total = by_suffix.agg(F.sum("urls")).first()[0] or 1
     text, digits = "coalesce(url, '')", "0123456789"
     share = "(char_length(t) - char_length(replace(t, c, ''))) / char_length(t)"
     exprs = {
@@ -103,7 +103,7 @@ def add_features(parts: DataFrame) -> DataFrame:
         "query_length": f"if(contains({text}, '?'), CAST(char_length(substring_index({text}, '?', -1)) AS double), 0.0)",
         "fragment": f"if(contains({text}, '#'), 1.0, 0.0)",
         "secure": f"if(startswith({text}, 'https:'), 1.0, 0.0)",
-        "suffix_share": "CAST(urls AS double) / all_urls",
+        "suffix_share": f"CAST(urls AS double) / {total}",
         "suffix_path_length": "suffix_path_length",
     }
     joined = keyed.join(by_suffix, "suffix").withColumn("t", F.expr(text))
