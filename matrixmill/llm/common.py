@@ -74,6 +74,19 @@ def segment_sums(values: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return total[ends] - total[ends - lengths]
 
 
+class _Numbers(dict):
+    """Numbers in order of appearance; looking up a new token adds it."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, token: str) -> int:
+        self.new.append(token)
+        number = self[token] = len(self)
+        return number
+
+
 class TokenTable:
     """Values that ``describe`` gives for tokens, computed once per token and remembered.
 
@@ -81,26 +94,29 @@ class TokenTable:
     long a task runs.
     """
 
-    def __init__(self, describe: Callable[[str], tuple], dtypes: tuple, limit: int = 300_000):
+    def __init__(self, describe: Callable[[str], tuple], dtypes: tuple, limit: int = 400_000):
         self._describe, self._dtypes, self._limit = describe, dtypes, limit
         self._forget()
 
     def _forget(self) -> None:
-        self._numbers: dict[str, int] = {}
-        self._columns = [np.zeros(0, kind) for kind in self._dtypes]
+        self._numbers = _Numbers()
+        # Grown by doubling, so that adding tokens costs no copy of all known ones.
+        self._columns = [np.zeros(1024, kind) for kind in self._dtypes]
 
     def values(self, tokens: list[str]) -> list[np.ndarray]:
         """One array per described value, with an entry per token."""
         if len(self._numbers) > self._limit:
             self._forget()
         numbers = self._numbers
-        new = [token for token in dict.fromkeys(tokens) if token not in numbers]
-        if new:
-            numbers.update(zip(new, range(len(numbers), len(numbers) + len(new)), strict=True))
-            rows = zip(*map(self._describe, new), strict=True)
-            self._columns = [
-                np.concatenate((old, np.array(values, kind)))
-                for old, values, kind in zip(self._columns, rows, self._dtypes, strict=True)
-            ]
+        known = len(numbers)
         at = np.fromiter(map(numbers.__getitem__, tokens), np.int64, len(tokens))
+        if numbers.new:
+            rows = zip(*map(self._describe, numbers.new), strict=True)
+            numbers.new = []
+            for place, values in enumerate(rows):
+                column = self._columns[place]
+                if len(numbers) > len(column):
+                    column = np.concatenate((column, np.zeros(max(len(column), len(numbers)), column.dtype)))
+                    self._columns[place] = column
+                column[known : len(numbers)] = values
         return [column[at] for column in self._columns]

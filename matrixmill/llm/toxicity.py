@@ -108,7 +108,8 @@ def _marks(sample: DataFrame) -> DataFrame:
         F.count_if(F.col("toxic") == 1).alias("ones"), F.count_if(F.col("toxic") == 0).alias("zeros")
     )
     counts = checkpointed(counts)
-    total = counts.agg(F.sum("ones").alias("all_ones"), F.sum("zeros").alias("all_zeros"))
+    all_ones, all_zeros = counts.agg(F.sum("ones"), F.sum("zeros")).first()
+    base = (all_ones or 0) / max((all_ones or 0) + (all_zeros or 0), 1)
     names = F.array(
         F.concat(F.lit("="), "word"),
         *[F.when(F.char_length("word") >= n, F.concat(F.lit(str(n)), F.substring("word", 1, n))) for n in STEMS],
@@ -118,12 +119,10 @@ def _marks(sample: DataFrame) -> DataFrame:
         .groupBy("feature")
         .agg(F.sum("ones").alias("ones"), F.sum("zeros").alias("zeros"))
         .filter(F.col("ones") >= MIN_SURROUNDINGS)
-        .crossJoin(F.broadcast(total))
     )
     share = F.col("ones") / (F.col("ones") + F.col("zeros"))
-    base = F.col("all_ones") / (F.col("all_ones") + F.col("all_zeros"))
-    part = F.when(F.col("zeros") > 0, F.col("zeros") * F.log((1 - share) / (1 - base))).otherwise(0.0)
-    evidence = 2 * (F.col("ones") * F.log(share / base) + part)
+    part = F.when(F.col("zeros") > 0, F.col("zeros") * F.log((1 - share) / (1 - F.lit(base)))).otherwise(0.0)
+    evidence = 2 * (F.col("ones") * F.log(share / F.lit(base)) + part)
     return (
         by_feature.filter((share >= MIN_SHARE) & (evidence >= MIN_EVIDENCE))
         .orderBy(evidence.desc(), "feature")
