@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from matrixmill.llm.common import TokenTable, map_batches, texts_of
+from matrixmill.llm.common import TokenTable, map_batches, segment_sums, texts_of
 from matrixmill.sources.tables import checkpointed
 
 # The masks, 1 where words are compared. Each has six compared words.
@@ -52,9 +52,9 @@ def _describe(token: str) -> tuple[int]:
     return (xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass")) if word else 0,)
 
 
-def _words(table: TokenTable, text: str) -> np.ndarray:
+def _words(text: str) -> np.ndarray:
     """64-bit hashes of a text's words."""
-    hashes = table.values(text.split())[0]
+    hashes = _KNOWN.values(text.split())[0]
     return hashes[hashes != 0]
 
 
@@ -109,19 +109,29 @@ def _filter(seeds: np.ndarray) -> tuple[np.ndarray, np.uint64]:
     return table, shift
 
 
-def _diagonals(words: np.ndarray, index: SeedIndex, table: np.ndarray, shift: np.uint64) -> set[tuple[int, int]]:
-    """``(part, shift)`` of every seed that a document shares with a part."""
-    found: set[tuple[int, int]] = set()
-    for mask in range(len(MASKS)):
-        seeds = _seeds(words, mask)
+def _diagonals(
+    words: np.ndarray, lengths: np.ndarray, index: SeedIndex, table: np.ndarray, shift: np.uint64
+) -> dict[int, set[tuple[int, int]]]:
+    """For each document the ``(part, shift)`` of every seed that it shares with a part.
+
+    ``words`` are those of all documents, one after the other.
+    """
+    starts = np.cumsum(lengths) - lengths
+    owner = np.repeat(np.arange(len(lengths)), lengths)
+    found: dict[int, set[tuple[int, int]]] = {}
+    for number, mask in enumerate(MASKS):
+        seeds = _seeds(words, number)
         at = np.flatnonzero(table[seeds >> shift])
-        if not len(at):
-            continue
+        at = at[owner[at] == owner[at + len(mask) - 1]]  # not across two documents
         first = np.searchsorted(index.seeds, seeds[at], "left")
         last = np.searchsorted(index.seeds, seeds[at], "right")
-        for position, low, high in zip(at[last > first], first[last > first], last[last > first], strict=True):
-            shifts = position - index.position_of[low:high]
-            found.update(zip(index.part_of[low:high].tolist(), shifts.tolist(), strict=True))
+        hit = last > first
+        for place, low, high in zip(at[hit], first[hit], last[hit], strict=True):
+            row = int(owner[place])
+            shifts = place - starts[row] - index.position_of[low:high]
+            found.setdefault(row, set()).update(
+                zip(index.part_of[low:high].tolist(), shifts.tolist(), strict=True)
+            )
     return found
 
 
@@ -142,14 +152,12 @@ def overlap(words: np.ndarray, part: np.ndarray, shift: int) -> tuple[int, int,
 
 def _benchmark_parts(benchmark: DataFrame, item_column: str, text_column: str) -> DataFrame:
     """``(item, words)``: items of enough words, long ones in parts that overlap."""
-    state: dict[str, TokenTable] = {}
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        table = state.setdefault("table", TokenTable(_describe, (np.uint64,)))
         owner, parts = [], []
         step = PART_WORDS - WINDOW - max(map(len, MASKS))
         for row, text in enumerate(texts_of(batch.column(1))):
-            words = _words(table, text)
+            words = _words(text)
             if len(words) < SHORTEST_ITEM:
                 continue
             for start in range(0, max(1, len(words) - (PART_WORDS - step)), step):
@@ -203,23 +211,35 @@ def find_overlaps(
     return result.withColumnsRenamed({"id": id_column, "item": item_column})
 
 
+#: Words known to a worker process, whatever the benchmark.
+_KNOWN = TokenTable(_describe, (np.uint64,))
+
+
 def _best_overlaps():
-    """Function that gives a text's longest overlap per item; its tables live per task."""
-    state: dict[str, object] = {}
+    """Function that gives each text's longest overlap per item, for texts that have any."""
+    state: dict[str, tuple] = {}
 
-    def run(shared, text: str) -> dict[object, tuple[int, int, int]]:
+    def run(shared: SeedIndex, column: pa.Array) -> dict[int, dict[object, tuple[int, int, int]]]:
         if not state:
-            state["words"] = TokenTable(_describe, (np.uint64,))
             state["filter"] = _filter(shared.seeds)
-        words = _words(state["words"], text)
-        best: dict[object, tuple[int, int, int]] = {}
-        for part, at in _diagonals(words, shared, *state["filter"]):
-            spot = overlap(words, shared.parts[part], at)
-            item = shared.items[part]
-            # Of equal overlaps the first one counts.
-            if spot and (item not in best or (-spot[2], spot) < (-best[item][2], best[item])):
-                best[item] = spot
-        return best
+        tokens = [text.split() for text in texts_of(column)]
+        hashes = _KNOWN.values([token for own in tokens for token in own])[0]
+        real = hashes != 0
+        counts = np.array([len(own) for own in tokens], np.int64)
+        lengths = segment_sums(real, counts)
+        words, starts = hashes[real], np.cumsum(lengths) - lengths
+        result: dict[int, dict[object, tuple[int, int, int]]] = {}
+        for row, diagonals in _diagonals(words, lengths, shared, *state["filter"]).items():
+            own, best = words[starts[row] : starts[row] + lengths[row]], {}
+            for part, at in diagonals:
+                spot = overlap(own, shared.parts[part], at)
+                item = shared.items[part]
+                # Of equal overlaps the first one counts.
+                if spot and (item not in best or (-spot[2], spot) < (-best[item][2], best[item])):
+                    best[item] = spot
+            if best:
+                result[row] = best
+        return result
 
     return run
 
@@ -229,10 +249,9 @@ def _search(spark: SparkSession, index: SeedIndex, schema: pa.Schema):
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         owner, rows = [], []
-        for row, text in enumerate(texts_of(batch.column(1))):
-            for item, spot in best_overlaps(shared.value, text).items():
-                owner.append(row)
-                rows.append((item, *spot))
+        for row, best in sorted(best_overlaps(shared.value, batch.column(1)).items()):
+            owner += [row] * len(best)
+            rows += [(item, *spot) for item, spot in best.items()]
         columns = list(zip(*rows, strict=True)) if rows else [()] * 4
         yield pa.RecordBatch.from_arrays(
             [
@@ -257,8 +276,9 @@ def drop_contaminated(
         shared, best_overlaps = docs.sparkSession.sparkContext.broadcast(index), _best_overlaps()
 
         def run(batch: pa.RecordBatch, shared=shared, best_overlaps=best_overlaps) -> Iterator[pa.RecordBatch]:
-            clean = [not best_overlaps(shared.value, text) for text in texts_of(batch.column(at))]
-            yield batch.filter(pa.array(clean, pa.bool_()))
+            clean = np.ones(batch.num_rows, bool)
+            clean[list(best_overlaps(shared.value, batch.column(at)))] = False
+            yield batch.filter(pa.array(clean))
 
         kept = map_batches(kept, run, kept.schema)
     return kept
