@@ -211,10 +211,26 @@ def find_overlaps(
     return result.withColumnsRenamed({"id": id_column, "item": item_column})
 
 
+#: Words of whole texts that are looked up at once; it bounds memory, not results.
+PORTION_WORDS = 100_000
+
 #: Words known to a worker process, whatever the benchmark.
 _KNOWN = TokenTable(_describe, (np.uint64,))
 
 
+def _portions(column: pa.Array) -> Iterator[tuple[int, list[list[str]]]]:
+    """Split texts in runs of about ``PORTION_WORDS``, each with the place of its first text."""
+    first, size, tokens = 0, 0, []
+    for text in texts_of(column):
+        tokens.append(text.split())
+        size += len(tokens[-1])
+        if size >= PORTION_WORDS:
+            yield first, tokens
+            first, size, tokens = first + len(tokens), 0, []
+    if tokens:
+        yield first, tokens
+
+
 def _best_overlaps():
     """Function that gives each text's longest overlap per item, for texts that have any."""
     state: dict[str, tuple] = {}
@@ -222,23 +238,23 @@ def _best_overlaps():
     def run(shared: SeedIndex, column: pa.Array) -> dict[int, dict[object, tuple[int, int, int]]]:
         if not state:
             state["filter"] = _filter(shared.seeds)
-        tokens = [text.split() for text in texts_of(column)]
-        hashes = _KNOWN.values([token for own in tokens for token in own])[0]
-        real = hashes != 0
-        counts = np.array([len(own) for own in tokens], np.int64)
-        lengths = segment_sums(real, counts)
-        words, starts = hashes[real], np.cumsum(lengths) - lengths
         result: dict[int, dict[object, tuple[int, int, int]]] = {}
-        for row, diagonals in _diagonals(words, lengths, shared, *state["filter"]).items():
-            own, best = words[starts[row] : starts[row] + lengths[row]], {}
-            for part, at in diagonals:
-                spot = overlap(own, shared.parts[part], at)
-                item = shared.items[part]
-                # Of equal overlaps the first one counts.
-                if spot and (item not in best or (-spot[2], spot) < (-best[item][2], best[item])):
-                    best[item] = spot
-            if best:
-                result[row] = best
+        for first, tokens in _portions(column):
+            hashes = _KNOWN.values([token for own in tokens for token in own])[0]
+            real = hashes != 0
+            counts = np.array([len(own) for own in tokens], np.int64)
+            lengths = segment_sums(real, counts)
+            words, starts = hashes[real], np.cumsum(lengths) - lengths
+            for row, diagonals in _diagonals(words, lengths, shared, *state["filter"]).items():
+                own, best = words[starts[row] : starts[row] + lengths[row]], {}
+                for part, at in diagonals:
+                    spot = overlap(own, shared.parts[part], at)
+                    item = shared.items[part]
+                    # Of equal overlaps the first one counts.
+                    if spot and (item not in best or (-spot[2], spot) < (-best[item][2], best[item])):
+                        best[item] = spot
+                if best:
+                    result[first + row] = best
         return result
 
     return run
