@@ -79,13 +79,15 @@ def test_staged_and_checkpointed_results_have_no_upstream(spark, rows, narrow):
 class _Cluster:
     """A session on a cluster, reduced to what the shared folder depends on."""
 
-    def __init__(self, setting):
-        self.setting, self.set_to = setting, None
-        self.sparkContext, self.conf, self.master = self, self, "yarn"
-
-    def get(self, key, default):
-        assert key == "spark.checkpoint.dir"
-        return self.setting or default
+    def __init__(self, setting, master="yarn"):
+        self.settings = {"spark.sql.warehouse.dir": "hdfs:///warehouse"}
+        if setting:
+            self.settings["spark.checkpoint.dir"] = setting
+        self.set_to, self.master = None, master
+        self.sparkContext = self.conf = self
+
+    def get(self, key, *default):
+        return self.settings.get(key, *default) if default else self.settings[key]
 
     def getCheckpointDir(self):
         return self.set_to
