@@ -14,6 +14,7 @@ from matrixmill.llm import (
     packing,
     pii,
     quality,
+    repeats,
     simhash,
     toxicity,
     urls,
@@ -97,6 +98,10 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find_personal_data(read_rows(spark, sf_dir, "documents")))
 
 
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.digest(repeats.remove_repeats(read_rows(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -110,6 +115,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quality,
         op9_toxicity,
         op10_pii,
+        op12_substring_dedup,
     )
 }
 
@@ -122,4 +128,25 @@ ORACLES = {
             SELECT text_sha256, max(doc_id) AS keep_id, count(*) AS group_size FROM hashed GROUP BY text_sha256)
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256
         FROM hashed JOIN groups USING (text_sha256)""",
+    "op12_substring_dedup": r"""
+        WITH texts AS (
+            SELECT row_number() OVER () AS r, doc_id,
+                   regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+            FROM documents),
+        windows AS (
+            SELECT r, doc_id, pos, md5(array_to_string(words[pos + 1 : pos + 50], ' ')) AS w
+            FROM (SELECT *, unnest(range(len(words) - 49)) AS pos FROM texts WHERE len(words) >= 50)),
+        least AS (SELECT w, min(doc_id) AS first_id FROM windows GROUP BY w),
+        gone AS (
+            SELECT r, list(DISTINCT pos + k) AS places
+            FROM (SELECT r, pos FROM windows JOIN least USING (w) WHERE doc_id > first_id), range(1, 51) AS steps(k)
+            GROUP BY r),
+        kept AS (
+            SELECT r, string_agg(word, ' ' ORDER BY place) AS kept_text
+            FROM (SELECT r, unnest(words) AS word, generate_subscripts(words, 1) AS place FROM texts)
+            ANTI JOIN (SELECT r, unnest(places) AS place FROM gone) USING (r, place)
+            GROUP BY r)
+        SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words,
+               CAST(coalesce(len(places), 0) AS BIGINT) AS n_removed, sha256(coalesce(kept_text, '')) AS kept_sha256
+        FROM texts LEFT JOIN gone USING (r) LEFT JOIN kept USING (r)""",
 }
