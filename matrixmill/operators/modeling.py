@@ -1,7 +1,14 @@
 """Models of samples: scaling, PCA, K-Means, a hashed hold-out and a random forest.
 
 Everything is fitted by Spark ML on the distributed per-sample table. Only model
-metadata of constant size (means, loadings, centres, metrics) reaches the driver.
+metadata whose size the settings bound (means, loadings, centres, trees, metrics) reaches
+the driver.
+
+Starting points and bags are drawn partition by partition, so every fit runs on rows that
+:func:`fixed_layout` has dealt: which rows share a partition, and in which order, follows
+from the samples alone, not from ``spark.sql.shuffle.partitions`` or adaptive execution. With
+one partition, which is up to ``rows_per_partition`` samples, results are the same to the
+last bit; with several, sums may differ in their last bits from run to run.
 
 The regression target is no independent quantity: each sample has a row for every
 gene, so ``library_size`` is ``avg_count`` times a constant. A high R² restates that
@@ -12,6 +19,8 @@ features are collinear and two components explain all variance.
 from __future__ import annotations
 
 import math
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from typing import NamedTuple
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -42,11 +51,40 @@ N_ESTIMATORS = 200
 TEST_SIZE = 0.2
 RANDOM_STATE = 42
 
-# Settings of the Spark estimators. 30 is the deepest tree Spark grows; with fewer
-# samples than bins every split point between two samples is tried.
-MAX_DEPTH = 30
+# Settings of the Spark estimators. A tree has fewer than 2**(MAX_DEPTH + 1) nodes however
+# many samples there are; with fewer samples than bins every split point between two samples
+# is tried.
+MAX_DEPTH = 10
 MAX_BINS = 128
+MIN_LEAF = 1
+N_STARTS = 10
+PARALLEL_FITS = 4
 KMEANS_ITERATIONS = 300
+KMEANS_TOLERANCE = 1e-9
+ROWS_PER_PARTITION = 100_000
+
+
+@dataclass(frozen=True)
+class ModelSettings:
+    """All parameters of :func:`run_modeling`."""
+
+    n_components: int = N_COMPONENTS
+    n_clusters: int = N_CLUSTERS
+    n_starts: int = N_STARTS
+    test_size: float = TEST_SIZE
+    n_estimators: int = N_ESTIMATORS
+    max_depth: int = MAX_DEPTH
+    max_bins: int = MAX_BINS
+    min_leaf: int = MIN_LEAF
+    bootstrap: bool = True
+    random_state: int = RANDOM_STATE
+    rows_per_partition: int = ROWS_PER_PARTITION
+
+    @property
+    def most_nodes(self) -> int:
+        """What the forest on the driver never exceeds, whatever the number of samples."""
+        return self.n_estimators * (2 ** (self.max_depth + 1) - 1)
+
 
 FEATURES = "features"
 SCALED = "scaled"
@@ -71,6 +109,20 @@ class SupervisedFit(NamedTuple):
     model: RandomForestRegressionModel
 
 
+def fixed_layout(
+    df: DataFrame, key: str = SAMPLE, rows_per_partition: int = ROWS_PER_PARTITION
+) -> DataFrame:
+    """``df`` checkpointed in a layout that only its rows decide.
+
+    Rows are dealt by the hash of ``key`` to one partition per ``rows_per_partition`` rows,
+    and sorted by it. The number is given to ``repartition``, so neither the session's number
+    of shuffle partitions nor adaptive execution changes it. ``df`` is evaluated twice; pass a
+    stored or checkpointed table when that is costly.
+    """
+    partitions = max(1, math.ceil(df.count() / rows_per_partition))
+    return checkpointed(df.repartition(partitions, key).sortWithinPartitions(key))
+
+
 def build_modeling_features(
     df_norm: DataFrame, sample_column: str = SAMPLE, count_column: str = COUNT
 ) -> DataFrame:
@@ -139,16 +191,34 @@ def fit_projection(
 
 
 def fit_clusters(
-    scaled: DataFrame, n_clusters: int = N_CLUSTERS, random_state: int = RANDOM_STATE
+    scaled: DataFrame,
+    n_clusters: int = N_CLUSTERS,
+    random_state: int = RANDOM_STATE,
+    n_starts: int = N_STARTS,
 ) -> tuple[DataFrame, KMeansModel]:
-    """Adds ``cluster``, numbered by ascending ``avg_count`` of the cluster's centre."""
-    model = KMeans(
-        k=n_clusters,
-        seed=random_state,
-        maxIter=KMEANS_ITERATIONS,
-        featuresCol=SCALED,
-        predictionCol="raw_cluster",
-    ).fit(scaled)
+    """Adds ``cluster``, numbered by ascending ``avg_count`` of the cluster's centre.
+
+    Of ``n_starts`` fits, with the seeds from ``random_state`` on, the one with the least
+    training cost is taken, the first of equal ones. ``scaled`` should come from a table in
+    :func:`fixed_layout`, and is read by every start.
+    """
+
+    def fit(seed: int) -> KMeansModel:
+        return KMeans(
+            k=n_clusters,
+            seed=seed,
+            maxIter=KMEANS_ITERATIONS,
+            tol=KMEANS_TOLERANCE,
+            featuresCol=SCALED,
+            predictionCol="raw_cluster",
+        ).fit(scaled)
+
+    # The fits are independent and each is many small jobs, so some run side by side.
+    with ThreadPoolExecutor(PARALLEL_FITS) as pool:
+        models = list(pool.map(fit, range(random_state, random_state + n_starts)))
+    costs = [fitted.summary.trainingCost for fitted in models]
+    # Equal clusters may differ in the last bits of their cost.
+    model = next(x for x, cost in zip(models, costs) if cost <= min(costs) * (1 + 1e-9))
     centres = [tuple(centre) for centre in model.clusterCenters()]
     ranks = F.array(*[F.lit(sorted(centres).index(centre)) for centre in centres])
     numbered = model.transform(scaled).withColumn("cluster", F.get(ranks, F.col("raw_cluster")))
@@ -160,15 +230,16 @@ def fit_pca_kmeans(
     n_components: int = N_COMPONENTS,
     n_clusters: int = N_CLUSTERS,
     random_state: int = RANDOM_STATE,
+    n_starts: int = N_STARTS,
 ) -> UnsupervisedFit:
     """Projects the z-scores and clusters them (the z-scores, not the projection).
 
-    ``df`` is read several times, so pass a stored or checkpointed table.
+    ``df`` is read several times, so pass a table of :func:`fixed_layout`.
     """
     scaler = fit_scaler(df)
     scaled = scaler.transform(df).drop(FEATURES, "centred")
     projected, pca = fit_projection(scaled, n_components)
-    clustered, kmeans = fit_clusters(projected, n_clusters, random_state)
+    clustered, kmeans = fit_clusters(projected, n_clusters, random_state, n_starts)
     return UnsupervisedFit(
         clustered.drop(SCALED),
         [float(ratio) for ratio in pca.explainedVariance],
@@ -273,14 +344,21 @@ def train_library_size_model(
     random_state: int = RANDOM_STATE,
     sample_column: str = SAMPLE,
     max_depth: int = MAX_DEPTH,
+    max_bins: int = MAX_BINS,
+    min_leaf: int = MIN_LEAF,
+    bootstrap: bool = True,
+    rows_per_partition: int = ROWS_PER_PARTITION,
 ) -> SupervisedFit:
     """Forest regression of the target on the unscaled features.
 
     Metrics cover the test rows only. Predictions cover all rows, so most of them are
-    in-sample. ``df`` is read several times, so pass a stored or checkpointed table.
+    in-sample. Bags are drawn on rows in :func:`fixed_layout`, so they depend on the samples
+    and the seed only. ``max_depth`` bounds the nodes of a tree, and with them the driver's
+    memory. Without ``bootstrap`` all trees are one and the same.
     """
     vectors = to_feature_matrix(df)
-    split = checkpointed(assign_split(vectors, test_size, random_state, sample_column))
+    split = assign_split(vectors, test_size, random_state, sample_column)
+    split = fixed_layout(checkpointed(split), sample_column, rows_per_partition)
     train, test = split.filter(~F.col("is_test")), split.filter(F.col("is_test"))
     forest = RandomForestRegressor(
         featuresCol=FEATURES,
@@ -289,7 +367,9 @@ def train_library_size_model(
         numTrees=n_estimators,
         seed=random_state,
         maxDepth=max_depth,
-        maxBins=MAX_BINS,
+        maxBins=max_bins,
+        minInstancesPerNode=min_leaf,
+        bootstrap=bootstrap,
         featureSubsetStrategy="all",
     )
     model = forest.fit(train)
@@ -314,27 +394,37 @@ def build_prediction_table(unsupervised: UnsupervisedFit, supervised: Supervised
     )
 
 
-def sample_table(df_norm: DataFrame, sample_column: str = SAMPLE) -> DataFrame:
-    """The modelling table, checkpointed, since every fit reads it several times.
-
-    Rows are ordered within their partitions, because sampling and starting points of
-    the estimators depend on row order.
-    """
-    features = build_modeling_features(df_norm, sample_column)
-    return checkpointed(features.sortWithinPartitions(sample_column))
+def sample_table(
+    df_norm: DataFrame,
+    sample_column: str = SAMPLE,
+    rows_per_partition: int = ROWS_PER_PARTITION,
+) -> DataFrame:
+    """The modelling table, stored in :func:`fixed_layout`, since every fit reads it."""
+    features = checkpointed(build_modeling_features(df_norm, sample_column))
+    return fixed_layout(features, sample_column, rows_per_partition)
 
 
 def run_modeling(
-    df_norm: DataFrame, n_estimators: int = N_ESTIMATORS, max_depth: int = MAX_DEPTH
+    df_norm: DataFrame, settings: ModelSettings = ModelSettings()
 ) -> tuple[DataFrame, dict[str, float | None]]:
-    """The prediction table of a normalised count table, and the test metrics.
-
-    Growing trees until each leaf holds one sample suits some hundreds of samples. With
-    millions of them, pass a smaller ``max_depth``.
-    """
-    samples = sample_table(df_norm)
-    unsupervised = fit_pca_kmeans(samples)
+    """The prediction table of a normalised count table, and the test metrics."""
+    samples = sample_table(df_norm, rows_per_partition=settings.rows_per_partition)
+    unsupervised = fit_pca_kmeans(
+        samples,
+        n_components=settings.n_components,
+        n_clusters=settings.n_clusters,
+        random_state=settings.random_state,
+        n_starts=settings.n_starts,
+    )
     supervised = train_library_size_model(
-        samples, n_estimators=n_estimators, max_depth=max_depth
+        samples,
+        test_size=settings.test_size,
+        n_estimators=settings.n_estimators,
+        random_state=settings.random_state,
+        max_depth=settings.max_depth,
+        max_bins=settings.max_bins,
+        min_leaf=settings.min_leaf,
+        bootstrap=settings.bootstrap,
+        rows_per_partition=settings.rows_per_partition,
     )
     return build_prediction_table(unsupervised, supervised), supervised.metrics

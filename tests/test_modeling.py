@@ -263,7 +263,7 @@ def test_prediction_table(spark, rows):
         spark,
         **{f"s{i}": [float(draw.choice([0, 0, 1, 5, 40 * i])) for _ in range(30)] for i in range(1, 16)},
     )
-    table, metrics = m.run_modeling(norm, n_estimators=5)
+    table, metrics = m.run_modeling(norm, m.ModelSettings(n_estimators=5))
     assert table.columns == [
         "sample_uuid", "library_size", "avg_count", "num_zero_genes", "num_detected_genes",
         "pct_zero_genes", "PC1", "PC2", "cluster", "pred_library_size", "target_library_size",
@@ -276,3 +276,102 @@ def test_prediction_table(spark, rows):
     assert {(row["model_r2"], row["model_rmse"]) for row in collected} == {
         (metrics["r2"], metrics["rmse"])
     }
+
+
+# Independence of the layout.
+
+LAYOUTS = [(4, True), (16, True), (200, False)]
+
+
+def long_counts(spark, num_samples=150, genes=20):
+    """Counts of many samples that no single partition has to hold."""
+    value = "CAST(pmod(xxhash64(s, g), 50) * if(g > 0 AND pmod(xxhash64(g, s), 3) = 0, 0, 1 + s % 7) + 1 - sign(g) AS double)"
+    return spark.range(num_samples * genes).selectExpr(
+        f"id DIV {genes} AS s", f"id % {genes} AS g"
+    ).selectExpr("concat('s', lpad(s, 4, '0')) AS sample_uuid", "concat('g', g) AS gene_id", f"{value} AS count")
+
+
+@pytest.fixture
+def with_layout(spark):
+    """Runs a function under a number of shuffle partitions, with or without adaptive execution."""
+    names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")
+    before = [spark.conf.get(name) for name in names]
+
+    def run(function, partitions, adaptive):
+        for name, value in zip(names, (str(partitions), str(adaptive).lower())):
+            spark.conf.set(name, value)
+        return function()
+
+    yield run
+    for name, value in zip(names, before):
+        spark.conf.set(name, value)
+
+
+def test_whole_prediction_table_is_the_same_in_every_layout(spark, with_layout, rows):
+    settings = m.ModelSettings(n_estimators=20, n_starts=3)
+
+    def table():
+        predicted, metrics = m.run_modeling(long_counts(spark), settings)
+        return rows(predicted), metrics
+
+    results = [with_layout(table, *layout) for layout in LAYOUTS]
+    assert results[0] == results[1] == results[2]
+    assert len(results[0][0]) == 150 and len({row[8] for row in results[0][0]}) == 3
+
+
+def test_several_partitions_are_dealt_by_the_samples_alone(spark, with_layout):
+    def pieces():
+        fixed = m.fixed_layout(m.build_modeling_features(long_counts(spark)), "sample_uuid", 40)
+        assert fixed.rdd.getNumPartitions() == 4
+        return [[row["sample_uuid"] for row in part] for part in fixed.rdd.glom().collect()]
+
+    first, *others = [with_layout(pieces, *layout) for layout in LAYOUTS]
+    assert all(other == first for other in others)
+    assert all(part == sorted(part) for part in first) and all(first)
+
+    def clusters():
+        table = m.sample_table(long_counts(spark), rows_per_partition=40)
+        fit = m.fit_pca_kmeans(table, n_starts=3)
+        forest = m.train_library_size_model(table, n_estimators=10, rows_per_partition=40)
+        joined = fit.scored.select("sample_uuid", "cluster").join(forest.scored, "sample_uuid")
+        return sorted((row["sample_uuid"], row["cluster"], round(row["pred_library_size"], 6)) for row in joined.collect())
+
+    first, *others = [with_layout(clusters, *layout) for layout in LAYOUTS]
+    assert all(other == first for other in others)
+
+
+def test_more_starts_never_cost_more(spark):
+    scaled = m.scale_features(m.sample_table(long_counts(spark)))
+    costs = [m.fit_clusters(scaled, 6, n_starts=starts)[1].summary.trainingCost for starts in (1, 8)]
+    assert costs[1] <= costs[0] * (1 + 1e-9)
+
+
+def test_each_sample_is_nearest_to_its_own_centre(spark):
+    scaled = m.scale_features(m.sample_table(long_counts(spark)))
+    clustered, model = m.fit_clusters(scaled, 4)
+    centres = sorted(tuple(centre) for centre in model.clusterCenters())
+    members = {}
+    for row in clustered.collect():
+        gaps = [sum((x - y) ** 2 for x, y in zip(row["scaled"], centre)) for centre in centres]
+        assert gaps[row["cluster"]] == pytest.approx(min(gaps))
+        members.setdefault(row["cluster"], []).append(row["scaled"].toArray())
+    for number, own in members.items():  # the centres have come to rest
+        assert sum(own) / len(own) == pytest.approx(centres[number], abs=1e-6)
+
+
+def test_nodes_are_bounded_by_the_settings_alone(spark):
+    table = m.sample_table(long_counts(spark, 4000, 5))
+    settings = m.ModelSettings(n_estimators=5, max_depth=4)
+    fit = m.train_library_size_model(table, n_estimators=5, max_depth=4, max_bins=16)
+    assert fit.model.totalNumNodes <= settings.most_nodes == 5 * 31
+    assert m.ModelSettings().most_nodes < 500_000
+
+
+def test_without_bags_the_tree_fits_every_training_row(spark):
+    table = m.sample_table(long_counts(spark, 40))
+    fit = m.train_library_size_model(table, n_estimators=3, bootstrap=False)
+    train, _ = m.train_test_split(table)
+    known = {row["sample_uuid"] for row in train.collect()}
+    for row in fit.scored.collect():
+        if row["sample_uuid"] in known:
+            assert row["pred_library_size"] == pytest.approx(row["library_size"])
