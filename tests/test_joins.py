@@ -3,7 +3,8 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from matrixmill.plans.joins import SALTS, lookup_join, measured_bytes
+from matrixmill.plans import joins
+from matrixmill.plans.joins import hot_keys, lookup_join, measured_bytes
 
 
 @pytest.fixture
@@ -38,19 +39,54 @@ def test_small_lookup_is_broadcast_and_facts_stay(facts, lookup):
     assert "hashpartitioning" not in plan
 
 
-def test_large_lookup_is_not_hinted(facts, lookup):
-    joined = lookup_join(facts, lookup, "key", broadcast_bytes=0)
-    assert "_salt" in joined._jdf.queryExecution().analyzed().toString()
-    assert "ResolvedHint" not in joined._jdf.queryExecution().analyzed().toString()
+def _plan(df):
+    return df._jdf.queryExecution().analyzed().toString()
 
 
-def test_hot_key_is_spread_over_the_salts(facts):
-    hot = facts.filter("key = 'k0'")
-    sizes = (
-        hot.groupBy(F.pmod(F.xxhash64(*hot.columns), F.lit(SALTS))).count().toPandas()["count"]
-    )
-    assert len(sizes) == SALTS
-    assert sizes.max() < 3 * sizes.mean()
+def test_keys_without_a_large_share_are_not_repeated(spark, lookup):
+    uniform = spark.range(4000).selectExpr("concat('k', id % 1000) AS key", "id AS value")
+    joined = lookup_join(uniform, lookup, "key", broadcast_bytes=0)
+    assert "_salt" not in _plan(joined) and "ResolvedHint" not in _plan(joined)
+
+
+def test_hot_keys_are_cut_by_their_count(facts):
+    found = hot_keys(facts, "key", 100)
+    counts = {row["key"]: row["count"] for row in facts.groupBy("key").count().collect()}
+    assert found == {
+        key: -(-100 * count // 3000) for key, count in counts.items() if key and 100 * count > 3000
+    }
+    assert found["k0"] > 30 and sum(found.values()) < 200
+    assert hot_keys(facts.limit(0), "key") == {}
+
+
+def test_only_hot_keys_are_salted(spark, facts, lookup, rows, monkeypatch):
+    monkeypatch.setattr(joins, "PIECES", 9)
+    wide = facts.unionByName(facts.selectExpr("concat(key, '-', value) AS key", "value"))
+    assert set(hot_keys(wide, "key", 9)) == {"k0"}
+    joined = lookup_join(wide, lookup, "key", "left", broadcast_bytes=0)
+    assert rows(joined) == rows(wide.join(lookup, "key", "left"))
+    assert "_salt" in _plan(joined)
+
+
+def test_equal_rows_of_a_hot_key_are_spread(spark):
+    same = spark.range(0, 2000, 1, 8).selectExpr("'k0' AS key", "1 AS value")
+    places = same.select(F.pmod(joins._place(same), F.lit(500)).alias("p")).distinct().count()
+    assert places == 8
+
+
+def test_the_lookup_is_computed_once(spark, facts, lookup):
+    calls = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            calls.add(batch.num_rows)
+            yield batch
+
+    derived = lookup.coalesce(1).mapInArrow(counted, lookup.schema)
+    for limit in (0, 10**6):
+        before = calls.value
+        lookup_join(facts, derived, "key", broadcast_bytes=limit).collect()
+        assert calls.value - before == lookup.count()
 
 
 def test_measured_bytes_bounds_the_values(spark):

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from matrixmill.sources import tables
 
@@ -112,3 +113,45 @@ def test_without_the_setting_the_warehouse_holds_the_folder():
 
 def test_stage_paths_differ(spark):
     assert tables.stage_path(spark, "x") != tables.stage_path(spark, "x")
+
+
+def test_a_local_folder_is_refused_on_a_cluster():
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
+        for warehouse in ("file:/tmp/warehouse", "/tmp/warehouse", "spark-warehouse"):
+            cluster = _Cluster(None, master)
+            cluster.settings["spark.sql.warehouse.dir"] = warehouse
+            with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+                tables.shared_folder(cluster)
+    for master in ("local", "local[4]", "local[*]"):
+        cluster = _Cluster(None, master)
+        cluster.settings["spark.sql.warehouse.dir"] = "file:/tmp/warehouse"
+        assert tables.shared_folder(cluster) == "file:/tmp/warehouse/_intermediate"
+
+
+def test_own_source_is_found_by_its_root(spark, tmp_path, monkeypatch):
+    """Relative and absolute names of one folder are the same; similar names are not."""
+    monkeypatch.chdir(tmp_path)
+    monkeypatch.setattr(type(spark.range(1)), "inputFiles", None)  # no file is listed
+    base = str(tmp_path)
+    tables.write_table(spark.range(3), f"{base}/a/table")
+    stored = tables.read_table(spark, f"{base}/a/table")
+    for target in (f"{base}/a/table", f"file:{base}/a/table/", f"{base}/a/./table", f"{base}/a", f"{base}/a/table/x"):
+        with pytest.raises(ValueError, match="being read"):
+            tables._refuse_own_source(stored, target)
+    for target in ("table", "a/table", f"{base}/a/table2", f"{base}/b/a/table"):
+        tables._refuse_own_source(stored, target)
+    joined = stored.join(spark.range(2), "id").groupBy("id").count()
+    with pytest.raises(ValueError, match="being read"):
+        tables._refuse_own_source(joined, f"{base}/a/table")
+
+
+def test_stored_frames_are_recognised(spark, tmp_path):
+    path = str(tmp_path / "table")
+    tables.write_table(spark.range(3).withColumn("x", F.lit(1.0)), path)
+    stored = tables.read_table(spark, path)
+    assert tables.is_stored(stored) and tables.is_stored(stored.select(F.col("x").alias("y"), "id"))
+    assert tables.is_stored(tables.checkpointed(stored.groupBy("id").count()))
+    assert tables.is_stored(spark.createDataFrame([(1,)], "a int"))
+    assert not tables.is_stored(stored.groupBy("id").count())
+    assert not tables.is_stored(stored.select(F.md5(F.col("id").cast("string"))))
+    assert not tables.is_stored(stored.filter("id > 1").distinct())
