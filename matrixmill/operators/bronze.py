@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections import defaultdict
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from matrixmill.functions.names import GENE_ID, RAW_GENE_PREFIX, sanitize_column_names
 from matrixmill.sources.matrix import read_raw_counts
@@ -40,5 +41,12 @@ def _refuse_collisions(df: DataFrame, clean: list[str]) -> None:
         raise ValueError(f"Columns become equal once their names are cleaned: {collisions}")
 
 
-def ingest_bronze(spark: SparkSession, raw_path: str, gene_id_column: str = GENE_ID) -> DataFrame:
-    return build_bronze_counts(read_raw_counts(spark, raw_path), gene_id_column)
+def ingest_bronze(
+    spark: SparkSession,
+    raw_path: str,
+    gene_id_column: str = GENE_ID,
+    multi_line: bool = True,
+    schema: StructType | str | None = None,
+) -> DataFrame:
+    """Reads a matrix as :func:`read_raw_counts` does, and gives its columns clean names."""
+    return build_bronze_counts(read_raw_counts(spark, raw_path, multi_line, schema), gene_id_column)

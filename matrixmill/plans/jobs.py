@@ -10,13 +10,12 @@ import logging
 from pyspark.sql import DataFrame, SparkSession
 
 from matrixmill.operators.annotation import build_gene_annotations, join_gene_annotations
-from matrixmill.operators.bronze import build_bronze_counts
+from matrixmill.operators.bronze import ingest_bronze
 from matrixmill.operators.features import build_gene_features, build_sample_features
-from matrixmill.operators.modeling import run_modeling
+from matrixmill.operators.modeling import ModelSettings, run_modeling
 from matrixmill.operators.normalize import normalize_counts
 from matrixmill.operators.silver import build_silver_counts
 from matrixmill.plans.layout import Layout
-from matrixmill.sources.matrix import read_raw_counts
 from matrixmill.sources.tables import read_table, write_table
 
 logger = logging.getLogger(__name__)
@@ -35,9 +34,11 @@ def _store(df: DataFrame, layout: Layout, table: str, overwrite_schema: bool = F
 
 
 def run_bronze(spark: SparkSession, layout: Layout) -> None:
-    raw = read_raw_counts(spark, layout.raw_path, multi_line=layout.raw_multi_line)
+    bronze = ingest_bronze(
+        spark, layout.raw_path, multi_line=layout.raw_multi_line, schema=layout.raw_schema
+    )
     # Inferred types may change from one export to the next.
-    _store(build_bronze_counts(raw), layout, "bronze_counts", overwrite_schema=True)
+    _store(bronze, layout, "bronze_counts", overwrite_schema=True)
 
 
 def run_silver(spark: SparkSession, layout: Layout) -> None:
@@ -59,8 +60,10 @@ def run_gold(spark: SparkSession, layout: Layout) -> None:
     _store(build_gene_features(normalized), layout, "gene_features")
 
 
-def run_modeling_stage(spark: SparkSession, layout: Layout) -> None:
-    predictions, metrics = run_modeling(_load(spark, layout, "normalized_counts"))
+def run_modeling_stage(
+    spark: SparkSession, layout: Layout, settings: ModelSettings = ModelSettings()
+) -> None:
+    predictions, metrics = run_modeling(_load(spark, layout, "normalized_counts"), settings)
     logger.info("test metrics: %s", metrics)
     _store(predictions, layout, "sample_predictions")
 
@@ -75,11 +78,17 @@ STAGES = {
 }
 
 
-def run_pipeline(spark: SparkSession, layout: Layout, stage: str = "all") -> None:
-    """Runs one stage, or all of them in order."""
+def run_pipeline(
+    spark: SparkSession,
+    layout: Layout,
+    stage: str = "all",
+    settings: ModelSettings = ModelSettings(),
+) -> None:
+    """Runs one stage, or all of them in order; ``settings`` are those of the models."""
     if stage != "all" and stage not in STAGES:
         raise ValueError(f"No stage {stage!r}; choose 'all' or one of {', '.join(STAGES)}.")
+    options = {"modeling": {"settings": settings}}
     for name, run in STAGES.items():
         if stage in ("all", name):
             logger.info("stage %s", name)
-            run(spark, layout)
+            run(spark, layout, **options.get(name, {}))

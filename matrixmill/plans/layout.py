@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.sql.types import StructType
+
 from matrixmill.sources.tables import DEFAULT_FORMAT
 
 # Folders below the base path, and the default input files.
@@ -25,7 +27,9 @@ GTF_FILE = "reference/hg38/Homo_sapiens.GRCh38.109.chr.gtf.gz"
 class Layout:
     """All paths below one base path, on any file system Spark can reach.
 
-    ``raw_file`` and ``gtf_file`` may name a file or a folder of files.
+    ``raw_file`` and ``gtf_file`` may name a file or a folder of files. ``raw_multi_line``
+    and ``raw_schema`` say how the matrix is read: as array documents or JSON lines, and
+    with which columns; without a schema the columns are inferred.
     """
 
     base_path: str
@@ -33,6 +37,7 @@ class Layout:
     gtf_file: str = GTF_FILE
     table_format: str = DEFAULT_FORMAT
     raw_multi_line: bool = True
+    raw_schema: StructType | str | None = None
 
     @property
     def raw_path(self) -> str:

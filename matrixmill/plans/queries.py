@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from matrixmill.functions.names import COUNT, GENE_ID, SAMPLE, sanitize_column_names
 from matrixmill.operators import annotation, bronze, features, modeling, normalize, reports, silver
@@ -14,7 +15,7 @@ from matrixmill.plans.jobs import run_pipeline
 from matrixmill.plans.layout import Layout
 from matrixmill.sources import order_matrix, tables
 from matrixmill.sources.gtf import read_gtf
-from matrixmill.sources.matrix import read_raw_counts
+from matrixmill.sources.matrix import matrix_schema, read_raw_counts
 
 #: Decimal places of results whose last bits depend on summation order or on the
 #: logarithm of the engine.
@@ -75,6 +76,16 @@ def _scaled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return modeling.scale_features(_samples(spark, sf_dir))
 
 
+def _lines_files(spark: SparkSession, sf_dir: str) -> str:
+    return order_matrix.write_raw_lines(spark, sf_dir, tables.stage_path(spark, "matrix.jsonl"))
+
+
+def _lines_schema(spark: SparkSession, sf_dir: str) -> StructType:
+    fields = order_matrix.sample_fields(order_matrix.sample_keys(spark, sf_dir))
+    text = [name for name, kind in fields.items() if kind == "string"]
+    return matrix_schema(order_matrix.RAW_GENE_COLUMN, fields, text)
+
+
 def _ratio_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Test rows with a prediction SQL can repeat: library size per detected gene in training."""
     train, test = modeling.train_test_split(_samples(spark, sf_dir))
@@ -93,6 +104,12 @@ def src_json_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_raw_counts(spark, _matrix_files(spark, sf_dir))
 
 
+def src_json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The matrix as JSON lines, with its schema given: no pass over the data to infer it."""
+    schema = _lines_schema(spark, sf_dir)
+    return read_raw_counts(spark, _lines_files(spark, sf_dir), multi_line=False, schema=schema)
+
+
 def src_gtf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_gtf(spark, _gtf_files(spark, sf_dir))
 
@@ -132,6 +149,19 @@ def bronze_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bronze.ingest_bronze(spark, _matrix_files(spark, sf_dir))
 
 
+def bronze_ingest_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bronze.ingest_bronze(
+        spark, _lines_files(spark, sf_dir), multi_line=False, schema=_lines_schema(spark, sf_dir)
+    )
+
+
+def stored_gene_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gene filter on a stored Bronze table, where the file scan applies it."""
+    path = tables.stage_path(spark, "bronze_counts")
+    tables.write_table(_bronze(spark, sf_dir), path)
+    return silver.filter_ensembl_genes(tables.read_table(spark, path))
+
+
 def silver_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _typed(spark, sf_dir)
 
@@ -217,6 +247,14 @@ def modeling_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(df, "avg_count", "pct_zero_genes")
 
 
+def feature_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The parts of the feature vector, in order."""
+    parts = vector_to_array(modeling.FEATURES)
+    names = [f"f{i}" for i in range(len(modeling.FEATURE_COLUMNS))]
+    vectors = modeling.to_feature_matrix(_samples(spark, sf_dir))
+    return _rounded(vectors.select(SAMPLE, *[parts[i].alias(x) for i, x in enumerate(names)]), "f0", "f3")
+
+
 def scaled_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = _scaled(spark, sf_dir)
     scores = vector_to_array(modeling.SCALED)
@@ -260,12 +298,35 @@ def prediction_residuals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rf_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = modeling.train_library_size_model(_samples(spark, sf_dir)).scored
-    return scored.select(SAMPLE, modeling.TARGET_COLUMN, "pred_library_size")
+    """The default forest. Its bags have no SQL, but each prediction is an average of training
+    targets, so it lies within their range."""
+    samples = _samples(spark, sf_dir)
+    train, _ = modeling.train_test_split(samples)
+    target = modeling.TARGET_COLUMN
+    least, most = train.agg(F.min(target), F.max(target)).first()
+    scored = modeling.train_library_size_model(samples).scored
+    inside = F.col("pred_library_size").between(least * (1 - 1e-12), most * (1 + 1e-12))
+    return scored.select(SAMPLE, target, inside.alias("in_training_range"))
+
+
+def tree_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A forest of equal trees: without bags each tree is the one that fits all training rows."""
+    samples = _samples(spark, sf_dir)
+    fit = modeling.train_library_size_model(samples, n_estimators=2, bootstrap=False)
+    split = modeling.assign_split(samples).select(SAMPLE, "is_test")
+    scored = fit.scored.join(split, SAMPLE)
+    return _rounded(
+        scored.select(SAMPLE, "is_test", modeling.TARGET_COLUMN, "pred_library_size"), "pred_library_size"
+    )
+
+
+#: Settings under which SQL can repeat the whole modelling stage.
+_EXACT = modeling.ModelSettings(n_estimators=1, bootstrap=False)
+_PREDICTED = ("avg_count", "pct_zero_genes", "PC1", "PC2", "pred_library_size", "model_r2", "model_rmse")
 
 
 def sample_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return modeling.run_modeling(_normalized(spark, sf_dir))[0]
+    return _rounded(modeling.run_modeling(_normalized(spark, sf_dir), _EXACT)[0], *_PREDICTED)
 
 
 # Report aggregates.
@@ -285,7 +346,11 @@ def cluster_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def kmeans_cluster_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.cluster_profile(modeling.fit_clusters(_scaled(spark, sf_dir))[0])
+    profile = reports.cluster_profile(modeling.fit_clusters(_scaled(spark, sf_dir))[0])
+    return _rounded(
+        profile,
+        "mean_library_size", "std_library_size", "mean_pct_zero_genes", "std_pct_zero_genes",
+    )
 
 
 def counts_by_gene_name(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -311,22 +376,73 @@ def count_range(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Jobs.
 
 
-def stored_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The data stages from files to stored tables; returns the last table they write."""
-    base = tables.stage_path(spark, "base")
-    layout = Layout(base, raw_file="matrix.json", gtf_file="annotation.gtf")
+def _input_files(spark: SparkSession, sf_dir: str) -> Layout:
+    layout = Layout(
+        tables.stage_path(spark, "base"), raw_file="matrix.json", gtf_file="annotation.gtf"
+    )
     order_matrix.write_raw_matrix(spark, sf_dir, layout.raw_path)
     order_matrix.write_gtf(spark, sf_dir, layout.gtf_path)
-    for stage in ("bronze", "silver", "annotation", "gold"):
-        run_pipeline(spark, layout, stage)
-    stored = tables.read_table(spark, layout.table_path("gene_features"))
-    return _rounded(stored, "mean_log1p_cpm", "std_log1p_cpm", "pct_samples_detected")
+    return layout
+
+
+def stored_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The data stages from files to stored tables; returns the last table they write."""
+    return _stored(spark, sf_dir, "gene_features", "bronze", "silver", "annotation", "gold")
+
+
+def _stored(spark: SparkSession, sf_dir: str, table: str, *stages: str) -> DataFrame:
+    """A table as the stages store it, from the input files on."""
+    layout = _input_files(spark, sf_dir)
+    for stage in stages:
+        run_pipeline(spark, layout, stage, _EXACT)
+    stored = tables.read_table(spark, layout.table_path(table))
+    return _rounded(stored, *[name for name in _STORED_ROUNDED if name in stored.columns])
+
+
+_STORED_ROUNDED = (
+    *_PREDICTED, "log1p_cpm", "avg_log1p_cpm", "mean_log1p_cpm", "std_log1p_cpm", "pct_samples_detected",
+)
+
+
+def stored_bronze_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored(spark, sf_dir, "bronze_counts", "bronze")
+
+
+def stored_counts_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored(spark, sf_dir, "counts_long", "bronze", "silver")
+
+
+def stored_gene_annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored(spark, sf_dir, "gene_annotations", "annotation")
+
+
+def stored_counts_with_genes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored(spark, sf_dir, "counts_with_genes", "bronze", "silver", "annotation", "gold")
+
+
+def stored_normalized_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored(spark, sf_dir, "normalized_counts", "bronze", "silver", "annotation", "gold")
+
+
+def stored_sample_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored(spark, sf_dir, "sample_features", "bronze", "silver", "annotation", "gold")
+
+
+def stored_gene_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Read after all five stages have run: the modelling stage leaves the others' tables alone."""
+    return _stored(spark, sf_dir, "gene_features", "all")
+
+
+def stored_sample_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All five stages, and the table that the last one writes."""
+    return _stored(spark, sf_dir, "sample_predictions", "all")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
         src_json_matrix,
+        src_json_lines,
         src_gtf,
         table_roundtrip,
         table_overwrite_schema,
@@ -334,6 +450,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         bronze_sanitize,
         bronze_counts,
         bronze_ingest,
+        bronze_ingest_lines,
+        stored_gene_filter,
         silver_cast,
         silver_unpivot,
         silver_stack,
@@ -351,6 +469,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         sample_features,
         gene_features,
         modeling_features,
+        feature_matrix,
         scaled_features,
         pca_components,
         pca_variance,
@@ -359,6 +478,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         regression_metrics,
         prediction_residuals,
         rf_predictions,
+        tree_predictions,
         sample_predictions,
         cluster_profile,
         kmeans_cluster_profile,
@@ -368,5 +488,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         counts_by_gene_sample,
         count_range,
         stored_tables,
+        stored_bronze_counts,
+        stored_counts_long,
+        stored_gene_annotations,
+        stored_counts_with_genes,
+        stored_normalized_counts,
+        stored_sample_features,
+        stored_gene_features,
+        stored_sample_predictions,
     )
 }

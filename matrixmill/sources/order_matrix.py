@@ -1,12 +1,13 @@
 """A count matrix and a GTF file derived from order tables, for the registered queries.
 
 A gene is a part, a sample is a supplier nation, a count is the quantity that suppliers
-of the nation delivered of the part. Every order line takes part. The rules give the
-matrix the quirks real exports have:
+of the nation delivered of the part. Every order line takes part: the samples are all nations
+that the nation or the supplier table names, and one more, past the largest, for lines whose
+supplier is unknown or has no nation. The rules give the matrix the quirks real exports have:
 
-* cells without deliveries are null; no supplier belongs to nation 25, so that sample
-  is empty and is inferred as text;
-* every fifth sample column holds text;
+* cells without deliveries are null; where all suppliers have a nation, the sample of the
+  others is empty and is inferred as text;
+* every fifth sample column holds text, with six decimal places;
 * two summary rows (returned, and accepted quantity per nation) stand beside the genes;
 * in the GTF, parts of one brand are pseudogenes (no annotation), parts of one type have
   no symbol, parts of the largest size are annotated twice, every part has a transcript.
@@ -22,7 +23,6 @@ from matrixmill.sources.gtf import GTF_COLUMNS
 
 # The rules above, used by the queries' SQL as well.
 RAW_GENE_COLUMN = "Unnamed: 0"
-NATION_KEYS = range(26)
 TEXT_COLUMN_STEP = 5
 SUMMARY_ROWS = {"R": "N_multimapping", "A": "N_noFeature"}
 PSEUDOGENE_BRAND = "Brand#2"
@@ -49,31 +49,53 @@ def _accession(part_key: str) -> str:
     return f"concat('ENSG', lpad(CAST({part_key} AS string), 11, '0'))"
 
 
-def _as_samples(rows: DataFrame) -> DataFrame:
+def sample_keys(spark: SparkSession, sf_dir: str) -> list[int]:
+    """Keys of all samples: the matrix has a column for each, so they are few."""
+    named = read_source(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("key"))
+    used = read_source(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("key"))
+    keys = named.unionByName(used).filter("key IS NOT NULL").distinct().collect()
+    known = sorted(row["key"] for row in keys)
+    return [*known, known[-1] + 1 if known else 0]
+
+
+def sample_fields(keys: list[int]) -> dict[str, str]:
+    """Type of each sample column."""
+    return {raw_sample_name(key): "string" if holds_text(key) else "double" for key in keys}
+
+
+def _samples_of(rows: DataFrame, group: str, name: str, keys: list[int]) -> DataFrame:
+    """One row per group, named by the SQL ``name``, with the quantity of each nation.
+
+    All sums are taken in one aggregation, which starts before its only shuffle.
+    """
+    sums = [F.expr(f"sum(if(k = {key}, l_quantity, NULL)) AS `{key}`") for key in keys]
     cells = [
-        f"CAST(CAST(`{nation}` AS bigint) AS {'string' if holds_text(nation) else 'double'}) "
-        f"AS `{raw_sample_name(nation)}`"
-        for nation in NATION_KEYS
+        f"CAST(CAST(`{key}` AS decimal(38, 6)) AS string) AS `{raw_sample_name(key)}`"
+        if holds_text(key)
+        else f"CAST(`{key}` AS double) AS `{raw_sample_name(key)}`"
+        for key in keys
     ]
-    return rows.selectExpr(f"`{RAW_GENE_COLUMN}`", *cells)
+    return rows.groupBy(group).agg(*sums).selectExpr(f"{name} AS `{RAW_GENE_COLUMN}`", *cells)
 
 
 def raw_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per part plus the summary rows, one column per nation."""
+    keys = sample_keys(spark, sf_dir)
     lines = read_source(spark, sf_dir, "lineitem").withColumnRenamed("l_suppkey", "s_suppkey")
-    suppliers = read_source(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    suppliers = (
+        read_source(spark, sf_dir, "supplier")
+        .filter("s_suppkey IS NOT NULL")
+        .select("s_suppkey", F.col("s_nationkey").alias("k"))
+    )
     supplier_bytes = measured_bytes(suppliers)
-    nations = list(NATION_KEYS)
 
-    per_line = lines.select("s_suppkey", "l_partkey", "l_quantity")
+    def with_nation(rows: DataFrame) -> DataFrame:
+        joined = lookup_join(rows, suppliers, "s_suppkey", "left", lookup_bytes=supplier_bytes)
+        return joined.withColumn("k", F.coalesce("k", F.lit(keys[-1])))
+
     versioned = f"concat({_accession('l_partkey')}, '.', l_partkey % 9 + 1)"
-    genes = (
-        lookup_join(per_line, suppliers, "s_suppkey", lookup_bytes=supplier_bytes)
-        .groupBy("l_partkey")
-        .pivot("s_nationkey", nations)
-        .agg(F.sum("l_quantity"))
-        .withColumn(RAW_GENE_COLUMN, F.expr(versioned))
-    )
+    per_line = with_nation(lines.select("s_suppkey", "l_partkey", "l_quantity"))
+    genes = _samples_of(per_line, "l_partkey", versioned, keys)
     # The summary needs no line, so lines are added up per supplier before the join.
     per_supplier = (
         lines.filter(F.col("l_returnflag").isin(list(SUMMARY_ROWS)))
@@ -81,14 +103,10 @@ def raw_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
         .agg(F.sum("l_quantity").alias("l_quantity"))
     )
     cases = " ".join(f"WHEN '{flag}' THEN '{name}'" for flag, name in SUMMARY_ROWS.items())
-    summary = (
-        lookup_join(per_supplier, suppliers, "s_suppkey", lookup_bytes=supplier_bytes)
-        .groupBy("l_returnflag")
-        .pivot("s_nationkey", nations)
-        .agg(F.sum("l_quantity"))
-        .withColumn(RAW_GENE_COLUMN, F.expr(f"CASE l_returnflag {cases} END"))
+    summary = _samples_of(
+        with_nation(per_supplier), "l_returnflag", f"CASE l_returnflag {cases} END", keys
     )
-    return _as_samples(genes).unionByName(_as_samples(summary))
+    return genes.unionByName(summary)
 
 
 def gtf_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -142,3 +160,15 @@ def write_raw_matrix(spark: SparkSession, sf_dir: str, path: str) -> str:
     )
     documents.write.option("maxRecordsPerFile", 1).text(path)
     return path
+
+
+def write_raw_lines(spark: SparkSession, sf_dir: str, path: str) -> str:
+    """Stores the matrix as JSON lines, which Spark splits by bytes.
+
+    Rows are dealt by gene, so the files are about equal and the same when a task is repeated.
+    """
+    num_parts = read_source(spark, sf_dir, "part").count()
+    files = num_parts // RECORDS_PER_DOCUMENT + 2
+    matrix = raw_matrix(spark, sf_dir).repartition(files, f"`{RAW_GENE_COLUMN}`")
+    matrix.write.option("ignoreNullFields", "false").json(path)
+    return path

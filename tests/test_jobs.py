@@ -2,12 +2,15 @@ from __future__ import annotations
 
 import gzip
 import json
+from dataclasses import replace
 
 import pytest
 
+from matrixmill.operators.modeling import ModelSettings
 from matrixmill.plans import jobs
 from matrixmill.plans.layout import TABLE_FOLDERS, Layout
-from matrixmill.sources.tables import read_table
+from matrixmill.sources.matrix import matrix_schema, read_raw_counts
+from matrixmill.sources.tables import read_table, write_table
 
 SAMPLES = [f"s-{i}" for i in range(10)]
 
@@ -113,6 +116,50 @@ def test_command_line(spark, layout, table, monkeypatch):
     from matrixmill import __main__ as cli
 
     ran = []
-    monkeypatch.setattr(cli, "run_pipeline", lambda spark, layout, stage: ran.append((layout, stage)))
+    monkeypatch.setattr(cli, "run_pipeline", lambda spark, *arguments: ran.append(arguments))
     cli.main(["--base-path", layout.base_path, "--stage", "silver"])
-    assert ran == [(layout, "silver")]
+    assert ran == [(layout, "silver", ModelSettings())]
+
+
+def test_command_line_names_every_model_setting(tmp_path):
+    from matrixmill.__main__ import parse
+
+    schema = tmp_path / "columns.ddl"
+    schema.write_text("`Unnamed: 0` string, `s-1` double\n")
+    given = ["--base-path", "/b", "--json-lines", "--raw-schema", str(schema), "--n-clusters", "4", "--max-depth", "3"]
+    given += ["--n-estimators", "7", "--no-bootstrap", "--test-size", "0.5", "--random-state", "1", "--n-starts", "2"]
+    args, layout, settings = parse(given)
+    assert args.stage == "all" and not layout.raw_multi_line
+    assert layout.raw_schema == "`Unnamed: 0` string, `s-1` double"
+    assert settings == ModelSettings(
+        n_clusters=4, max_depth=3, n_estimators=7, bootstrap=False, test_size=0.5, random_state=1, n_starts=2
+    )
+
+
+def test_settings_reach_the_models(spark, layout, table):
+    other = replace(layout, base_path=f"{layout.base_path}/other")
+    write_table(table("normalized_counts"), other.table_path("normalized_counts"))
+    jobs.run_pipeline(spark, other, "modeling", ModelSettings(n_clusters=2, n_estimators=1, n_starts=1))
+    stored = read_table(spark, other.table_path("sample_predictions"))
+    assert {row["cluster"] for row in stored.select("cluster").collect()} == {0, 1}
+
+
+def test_json_lines_with_a_schema_need_no_pass_to_infer_it(spark, tmp_path):
+    """Reading starts no job, splits by bytes, and takes the columns the schema names."""
+    records = [{"Unnamed: 0": f"ENSG{i}.1", "s-1": i, "s-2": str(i), "extra": 1} for i in range(2000)]
+    path = tmp_path / "matrix.jsonl"
+    path.write_text("\n".join(map(json.dumps, records)))
+    schema = matrix_schema("Unnamed: 0", ["s-1", "s-2"], ["s-2"])
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    spark.sparkContext.setJobGroup("lines", "lines")
+    try:
+        read = read_raw_counts(spark, str(path), multi_line=False, schema=schema)
+        assert spark.sparkContext.statusTracker().getJobIdsForGroup("lines") == []
+        assert read.schema == schema and read.rdd.getNumPartitions() > 1
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert sum(row["s-1"] for row in read.collect()) == sum(range(2000))
+    base = Layout(str(tmp_path), raw_file="matrix.jsonl", raw_multi_line=False, raw_schema=schema)
+    jobs.run_pipeline(spark, base, "bronze")
+    assert read_table(spark, base.table_path("bronze_counts")).columns == ["gene_id", "s_1", "s_2"]
