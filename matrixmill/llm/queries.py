@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 from matrixmill.llm import (
     decontaminate,
     exact_dedup,
+    lexical,
     licenses,
     packing,
     pii,
     quality,
     repeats,
     simhash,
+    spelling,
     toxicity,
     urls,
     warc,
@@ -98,10 +100,19 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find_personal_data(read_rows(spark, sf_dir, "documents")))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.count_words(read_rows(spark, sf_dir, "documents"), change=spelling.thinned)
+    return spelling.group_variants(words)
+
+
 def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.digest(repeats.remove_repeats(read_rows(spark, sf_dir, "documents")))
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(read_rows(spark, sf_dir, "documents"), read_rows(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -115,11 +126,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quality,
         op9_toxicity,
         op10_pii,
+        op11_spelling_variants,
         op12_substring_dedup,
+        op13_lexical_search,
     )
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 ORACLES = {
     "op5_exact_dedup": f"""
@@ -149,4 +163,28 @@ ORACLES = {
         SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words,
                CAST(coalesce(len(places), 0) AS BIGINT) AS n_removed, sha256(coalesce(kept_text, '')) AS kept_sha256
         FROM texts LEFT JOIN gone USING (r) LEFT JOIN kept USING (r)""",
+    "op13_lexical_search": rf"""
+        WITH terms AS (
+            SELECT doc_id, row_number() OVER () AS r, regexp_extract_all({_LOWER}, '{_TERM}') AS terms FROM documents),
+        sizes AS (SELECT r, doc_id, len(terms) AS n FROM terms WHERE len(terms) > 0),
+        totals AS (SELECT count(*) AS num, CAST(sum(n) AS BIGINT) AS total FROM sizes),
+        counts AS (
+            SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(terms) AS term FROM terms) GROUP BY r, term),
+        weights AS (
+            SELECT term, CAST(floor(1000 * ln((2.0 * num + 2)::DOUBLE / (2 * count(*) + 1))) AS BIGINT) AS w
+            FROM counts, totals GROUP BY term, num),
+        wanted AS (
+            SELECT item_id, i, term, count(*) AS many
+            FROM (SELECT item_id, row_number() OVER () AS i, unnest(regexp_extract_all({_LOWER}, '{_TERM}')) AS term
+                  FROM benchmark)
+            GROUP BY item_id, i, term),
+        scores AS (
+            SELECT item_id, i, doc_id, r,
+                   sum(many * w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * num) // total)))) AS score
+            FROM wanted JOIN weights USING (term) JOIN counts USING (term) JOIN sizes USING (r), totals
+            GROUP BY item_id, i, doc_id, r)
+        SELECT item_id, CAST(row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank,
+               doc_id, CAST(score AS BIGINT) AS score
+        FROM scores WHERE score > 0
+        QUALIFY row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) <= 10""",
 }
