@@ -5,20 +5,26 @@ so a passage with substituted words still has hits. The seeds of the benchmark f
 that every task looks the seeds of its documents up in; the documents do not move. Each hit
 puts a document and an item on a diagonal (their words side by side). A document is
 contaminated by the item if ``WINDOW`` consecutive words of the diagonal, or the whole item if
-it is shorter, agree in at least ``AGREEMENT`` of the words.
+it is shorter, agree in at least ``AGREEMENT`` of the words. The masks are chosen such that
+every such agreement, wherever its substitutions are, has a hit: six masks for items from
+``LONG_ITEM`` words on, four denser ones for shorter items.
 
-The index of one pass has at most ``SLICE_WORDS`` words of the benchmark; a larger benchmark
-is taken in slices, with one pass over the documents per slice, so what is broadcast is
-bounded whatever the benchmark's size. Long items are cut into overlapping parts.
+The index of one pass has about ``SLICE_WORDS`` words of the benchmark; a larger benchmark is
+taken in slices, with one pass over the documents per slice, so what is broadcast is bounded by
+that and by the longest item, whatever the benchmark's size. Results don't depend on the slices.
 
 Words are separated by white space, without punctuation at their ends, in lower case. Null
 texts have no words. Items of fewer than ``SHORTEST_ITEM`` words are not searched: so few
-words are no evidence. Repeated rows are each judged; empty tables give an empty result.
+words are no evidence. Items equal in id are one item, which the best of their overlaps counts
+for. Repeated rows of documents are each judged; empty tables give an empty result. Other
+columns take no part, whatever their names. Long texts are searched whole, in portions of whole
+texts; a long item is one entry of the index.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
@@ -30,18 +36,19 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from matrixmill.llm.common import TokenTable, map_batches, segment_sums, texts_of
-from matrixmill.sources.tables import checkpointed
+from matrixmill.sources.tables import checkpointed, staged
 
-# The masks, 1 where words are compared. Each has six compared words.
-MASKS = ("111111", "11011011", "101110011", "1110010011", "110100010101")
+# The masks, 1 where words are compared.
+MASKS = ("111111", "1101111", "10111011", "11100111", "110101011", "111010011")
+SHORT_MASKS = ("1111", "10111", "11011", "11101")
 
 WINDOW = 13
 AGREEMENT = 0.8
-SHORTEST_ITEM = 8
+SHORTEST_ITEM = 5
+LONG_ITEM = 8
 
-#: Words of the benchmark that one pass looks up, and words of an item's part.
+#: Words of the benchmark that one pass looks up.
 SLICE_WORDS = 1_000_000
-PART_WORDS = 1024
 
 _EDGES = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "«»“”‘’„…–—¿¡"
 _FILTER_FACTOR = 64
@@ -58,9 +65,20 @@ def _words(text: str) -> np.ndarray:
     return hashes[hashes != 0]
 
 
+_ALL_MASKS = (*MASKS, *SHORT_MASKS)
+_FACTORS = np.array(
+    [xxhash.xxh64_intdigest(str(at)) | 1 for at in range(max(map(len, _ALL_MASKS)) + 1)], np.uint64
+)
+
+
+def _masks_of(length: int) -> range:
+    """Numbers of the masks that an item of so many words is looked up by."""
+    return range(len(MASKS)) if length >= LONG_ITEM else range(len(MASKS), len(_ALL_MASKS))
+
+
 def _seeds(words: np.ndarray, number: int) -> np.ndarray:
     """Hashes of one mask at every position where it fits."""
-    mask = MASKS[number]
+    mask = _ALL_MASKS[number]
     count = len(words) - len(mask) + 1
     if count < 1:
         return np.zeros(0, np.uint64)
@@ -68,37 +86,38 @@ def _seeds(words: np.ndarray, number: int) -> np.ndarray:
     with np.errstate(over="ignore"):
         for at, kept in enumerate(mask):
             if kept == "1":
-                total *= np.uint64(0x9E3779B97F4A7C15)
-                total ^= total >> np.uint64(29)
-                total += words[at : at + count]
+                total += words[at : at + count] * _FACTORS[at]
+        total ^= total >> np.uint64(29)
         total *= np.uint64(0xBF58476D1CE4E5B9)
     return total ^ (total >> np.uint64(32))
 
 
 class SeedIndex(NamedTuple):
-    """Parts of items, and their seeds in sorted order with part and position."""
+    """Items with their words, and their seeds in sorted order with item and position."""
 
-    items: list
-    parts: list[np.ndarray]
+    names: list
+    words: list[np.ndarray]
+    masks: list[int]
     seeds: np.ndarray
-    part_of: np.ndarray
+    item_of: np.ndarray
     position_of: np.ndarray
 
 
 def build_index(rows: list) -> SeedIndex:
     """Index of ``(item, words)`` rows."""
-    items = [row[0] for row in rows]
-    parts = [np.array(row[1], np.int64).view(np.uint64) for row in rows]
-    seeds, part_of, position_of = [], [], []
-    for number, words in enumerate(parts):
-        for mask in range(len(MASKS)):
+    items = [np.array(row[1], np.int64).view(np.uint64) for row in rows]
+    seeds, item_of, position_of = [np.zeros(0, np.uint64)], [np.zeros(0, np.int32)], [np.zeros(0, np.int32)]
+    masks = set()
+    for number, words in enumerate(items):
+        for mask in _masks_of(len(words)):
             found = _seeds(words, mask)
+            masks.add(mask)
             seeds.append(found)
-            part_of.append(np.full(len(found), number, np.int32))
+            item_of.append(np.full(len(found), number, np.int32))
             position_of.append(np.arange(len(found), dtype=np.int32))
-    joined = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in (seeds, part_of, position_of)]
+    joined = [np.concatenate(x) for x in (seeds, item_of, position_of)]
     order = np.argsort(joined[0], kind="stable")
-    return SeedIndex(items, parts, *[x[order] for x in joined])
+    return SeedIndex([row[0] for row in rows], items, sorted(masks), *[x[order] for x in joined])
 
 
 def _filter(seeds: np.ndarray) -> tuple[np.ndarray, np.uint64]:
@@ -112,17 +131,17 @@ def _filter(seeds: np.ndarray) -> tuple[np.ndarray, np.uint64]:
 def _diagonals(
     words: np.ndarray, lengths: np.ndarray, index: SeedIndex, table: np.ndarray, shift: np.uint64
 ) -> dict[int, set[tuple[int, int]]]:
-    """For each document the ``(part, shift)`` of every seed that it shares with a part.
+    """For each document the ``(item, shift)`` of every seed that it shares with an item.
 
     ``words`` are those of all documents, one after the other.
     """
     starts = np.cumsum(lengths) - lengths
     owner = np.repeat(np.arange(len(lengths)), lengths)
     found: dict[int, set[tuple[int, int]]] = {}
-    for number, mask in enumerate(MASKS):
+    for number in index.masks:
         seeds = _seeds(words, number)
         at = np.flatnonzero(table[seeds >> shift])
-        at = at[owner[at] == owner[at + len(mask) - 1]]  # not across two documents
+        at = at[owner[at] == owner[at + len(_ALL_MASKS[number]) - 1]]  # not across two documents
         first = np.searchsorted(index.seeds, seeds[at], "left")
         last = np.searchsorted(index.seeds, seeds[at], "right")
         hit = last > first
@@ -130,41 +149,46 @@ def _diagonals(
             row = int(owner[place])
             shifts = place - starts[row] - index.position_of[low:high]
             found.setdefault(row, set()).update(
-                zip(index.part_of[low:high].tolist(), shifts.tolist(), strict=True)
+                zip(index.item_of[low:high].tolist(), shifts.tolist(), strict=True)
             )
     return found
 
 
-def overlap(words: np.ndarray, part: np.ndarray, shift: int) -> tuple[int, int, int] | None:
-    """First word, end and agreeing words of the overlap on a diagonal, if it is one."""
-    low, high = max(0, shift), min(len(words), shift + len(part))
-    span = min(WINDOW, len(part))
+def overlap(words: np.ndarray, item: np.ndarray, shift: int) -> tuple[int, int, int] | None:
+    """First word, end and agreeing words of the best overlap on a diagonal, if there is one.
+
+    An overlap is a run of windows that agree and touch; the best has the most agreeing
+    words, the first of equal ones.
+    """
+    low, high = max(0, shift), min(len(words), shift + len(item))
+    span = min(WINDOW, len(item))
     if high - low < span:
         return None
-    agree = words[low:high] == part[low - shift : high - shift]
+    agree = words[low:high] == item[low - shift : high - shift]
     total = np.concatenate(([0], np.cumsum(agree)))
     good = np.flatnonzero(total[span:] - total[:-span] >= AGREEMENT * span)
     if not len(good):
         return None
-    start, end = int(good[0]), int(good[-1]) + span
-    return low + start, low + end, int(total[end] - total[start])
+    cuts = np.flatnonzero(np.diff(good) > span)
+    starts = good[np.concatenate(([0], cuts + 1))]
+    ends = good[np.concatenate((cuts, [len(good) - 1]))] + span
+    sums = total[ends] - total[starts]
+    best = int(np.argmax(sums))
+    return low + int(starts[best]), low + int(ends[best]), int(sums[best])
 
 
-def _benchmark_parts(benchmark: DataFrame, item_column: str, text_column: str) -> DataFrame:
-    """``(item, words)``: items of enough words, long ones in parts that overlap."""
+def _benchmark_items(benchmark: DataFrame, item_column: str, text_column: str) -> DataFrame:
+    """``(item, words)``: the items of enough words."""
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        owner, parts = [], []
-        step = PART_WORDS - WINDOW - max(map(len, MASKS))
+        owner, items = [], []
         for row, text in enumerate(texts_of(batch.column(1))):
             words = _words(text)
-            if len(words) < SHORTEST_ITEM:
-                continue
-            for start in range(0, max(1, len(words) - (PART_WORDS - step)), step):
+            if len(words) >= SHORTEST_ITEM:
                 owner.append(row)
-                parts.append(words[start : start + PART_WORDS].view(np.int64))
+                items.append(words.view(np.int64))
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0).take(pa.array(owner, pa.int32())), pa.array(parts, pa.list_(pa.int64()))],
+            [batch.column(0).take(pa.array(owner, pa.int32())), pa.array(items, pa.list_(pa.int64()))],
             names=["item", "words"],
         )
 
@@ -173,13 +197,15 @@ def _benchmark_parts(benchmark: DataFrame, item_column: str, text_column: str) -
     return map_batches(pairs, run, f"item {kind}, words array<long>")
 
 
-def _slices(parts: DataFrame) -> Iterator[SeedIndex]:
-    """Indexes of at most about ``SLICE_WORDS`` words each."""
-    total = parts.agg(F.sum(F.size("words"))).first()[0] or 0
+def _slices(items: DataFrame) -> Iterator[SeedIndex]:
+    """Indexes of about ``SLICE_WORDS`` words each."""
+    total = items.agg(F.sum(F.size("words"))).first()[0] or 0
     number = -(-total // SLICE_WORDS)
     for at in range(number):
-        chosen = parts.filter(F.pmod(F.xxhash64("words"), F.lit(number)) == at) if number > 1 else parts
-        yield build_index(chosen.distinct().collect())
+        chosen = items.filter(F.pmod(F.xxhash64("words"), F.lit(number)) == at) if number > 1 else items
+        rows = chosen.distinct().collect()
+        if rows:
+            yield build_index(rows)
 
 
 def find_overlaps(
@@ -190,25 +216,44 @@ def find_overlaps(
     item_column: str = "item_id",
     item_text: str = "text",
 ) -> DataFrame:
-    """One row per document row and item it overlaps with: the longest overlap.
+    """One row per document row and item it overlaps with: the best overlap.
 
     Columns: id, item id, ``start_word``, ``end_word`` (exclusive), ``agreeing_words``.
     """
-    parts = checkpointed(_benchmark_parts(benchmark, item_column, item_text))
+    items = checkpointed(_benchmark_items(benchmark, item_column, item_text))
     item_kind = benchmark.schema[item_column].dataType.simpleString()
     id_kind = docs.schema[id_column].dataType.simpleString()
     schema = StructType.fromDDL(
-        f"id {id_kind}, item {item_kind}, start_word long, end_word long, agreeing_words long"
+        f"row long, id {id_kind}, item {item_kind}, start_word long, end_word long, agreeing_words long"
     )
     arrow = to_arrow_schema(schema)
-    pairs = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
-    result = None
-    for index in _slices(parts):
-        found = map_batches(pairs, _search(docs.sparkSession, index, arrow), schema)
-        result = found if result is None else result.unionByName(found)
-    if result is None:
-        result = docs.sparkSession.createDataFrame([], schema)
-    return result.withColumnsRenamed({"id": id_column, "item": item_column})
+    pairs = docs.select(
+        F.monotonically_increasing_id().alias("row"), F.col(id_column).alias("id"), F.col(text_column).alias("text")
+    )
+    found = []
+    for index in _slices(items):
+        if len(found) == 1:
+            # The rows need the same numbers in every pass.
+            pairs = staged(pairs, "documents")
+            found = [map_batches(pairs, _search(docs.sparkSession, first, arrow), schema)]
+        first = index
+        found.append(map_batches(pairs, _search(docs.sparkSession, index, arrow), schema))
+    result = reduce(DataFrame.unionByName, found or [docs.sparkSession.createDataFrame([], schema)])
+    if len(found) > 1:
+        # Equal ids of items may lie in several slices.
+        spot = F.struct("agreeing_words", (-F.col("start_word")).alias("start"), (-F.col("end_word")).alias("end"))
+        result = (
+            result.groupBy("row", "item")
+            .agg(F.max(spot).alias("best"), F.first("id").alias("id"))
+            .select(
+                "id",
+                "item",
+                (-F.col("best.start")).alias("start_word"),
+                (-F.col("best.end")).alias("end_word"),
+                "best.agreeing_words",
+            )
+        )
+    return result.drop("row").withColumnsRenamed({"id": id_column, "item": item_column})
 
 
 #: Words of whole texts that are looked up at once; it bounds memory, not results.
@@ -247,9 +292,9 @@ def _best_overlaps():
             words, starts = hashes[real], np.cumsum(lengths) - lengths
             for row, diagonals in _diagonals(words, lengths, shared, *state["filter"]).items():
                 own, best = words[starts[row] : starts[row] + lengths[row]], {}
-                for part, at in diagonals:
-                    spot = overlap(own, shared.parts[part], at)
-                    item = shared.items[part]
+                for number, at in diagonals:
+                    spot = overlap(own, shared.words[number], at)
+                    item = shared.names[number]
                     # Of equal overlaps the first one counts.
                     if spot and (item not in best or (-spot[2], spot) < (-best[item][2], best[item])):
                         best[item] = spot
@@ -265,14 +310,14 @@ def _search(spark: SparkSession, index: SeedIndex, schema: pa.Schema):
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         owner, rows = [], []
-        for row, best in sorted(best_overlaps(shared.value, batch.column(1)).items()):
+        for row, best in sorted(best_overlaps(shared.value, batch.column(2)).items()):
             owner += [row] * len(best)
             rows += [(item, *spot) for item, spot in best.items()]
         columns = list(zip(*rows, strict=True)) if rows else [()] * 4
         yield pa.RecordBatch.from_arrays(
             [
-                batch.column(0).take(pa.array(owner, pa.int32())),
-                *[pa.array(values, kind) for values, kind in zip(columns, schema.types[1:], strict=True)],
+                *[batch.column(at).take(pa.array(owner, pa.int32())) for at in range(2)],
+                *[pa.array(values, kind) for values, kind in zip(columns, schema.types[2:], strict=True)],
             ],
             schema=schema,
         )
@@ -285,10 +330,10 @@ def drop_contaminated(
 ) -> DataFrame:
     """The rows of ``docs`` without any overlap, columns unchanged."""
     unnamed = benchmark.select(F.lit(0).alias("item"), F.col(item_text).alias("text"))
-    parts = checkpointed(_benchmark_parts(unnamed, "item", "text"))
+    items = checkpointed(_benchmark_items(unnamed, "item", "text"))
     at = docs.columns.index(text_column)
     kept = docs
-    for index in _slices(parts):
+    for index in _slices(items):
         shared, best_overlaps = docs.sparkSession.sparkContext.broadcast(index), _best_overlaps()
 
         def run(batch: pa.RecordBatch, shared=shared, best_overlaps=best_overlaps) -> Iterator[pa.RecordBatch]:

@@ -46,6 +46,22 @@ def test_a_filter_that_is_too_small_loses_nothing(documents, texts, monkeypatch,
     assert sum(row["kept"] for row in rows) == len(best)
 
 
+@pytest.mark.parametrize("most", [1024, exact_dedup.MAX_CELLS])
+def test_the_filter_stays_sharp_when_its_parts_are_small(spark, monkeypatch, most):
+    """A tenth of the rows have copies, and hardly more are flagged, with many parts or one."""
+    monkeypatch.setattr(exact_dedup, "MAX_CELLS", most)
+    keys = [(f"k{i}", i) for i in range(9000)] + [(f"c{i % 500}", i) for i in range(1000)]
+    frame = spark.createDataFrame(keys, "key string, hash_0 int")
+    flagged = exact_dedup.flag_possible_copies(frame, "key", "flag")
+    rows = flagged.collect()
+    assert flagged.columns == ["key", "hash_0", "flag"]
+    assert sorted((row["key"], row["hash_0"]) for row in rows) == sorted(keys)
+    hit = [row["key"] for row in rows if row["flag"]]
+    assert sum(key.startswith("c") for key in hit) == 1000
+    assert len(hit) - 1000 < 0.03 * 9000
+    assert exact_dedup.filter_size(500)[0] == (8 if most == 1024 else 1)
+
+
 def test_only_possible_copies_are_flagged(spark):
     keys = [(f"k{i}",) for i in range(2000)] + [("k1",), ("k1",), ("k7",)]
     flagged = exact_dedup.flag_possible_copies(spark.createDataFrame(keys, "key string"), "key", "flag")
