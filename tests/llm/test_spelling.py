@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import itertools
 import random
 import re
 import zlib
@@ -84,23 +85,35 @@ def test_equals_comparing_all_pairs(spark, seed):
     words = spark.createDataFrame(list(counts.items()), "word string, n long").repartition(3)
     expected = brute_force({word: n for word, n in counts.items() if len(word) >= 7 and n >= 2})
     assert collected(spelling.group_variants(words)) == expected
-    assert any(row[0] for row in expected.values()) and any(row[1] not in (row[0], w) for w, row in expected.items())
+    assert any(row[0] for row in expected.values())
+
+
+def test_roots_follow_forms_to_the_end(spark):
+    counts = {"aaaaaaaaaaaaaaaa"[:7 + k]: 10**k * 3 for k in range(8)} | {"bbbbbbb": 5, "bbbbbbc": 49, "bbbbbbd": 50}
+    words = spark.createDataFrame(list(counts.items()), "word string, n long")
+    expected = brute_force(counts)
+    assert {row[1] for word, row in expected.items() if word[0] == "a"} == {"a" * 14}
+    assert collected(spelling.group_variants(words)) == expected
 
 
 def test_tiles_and_batches_may_cut_blocks(spark, monkeypatch):
-    monkeypatch.setattr(spelling, "PART", 4)
     block, length, part, words = [], [], [], []
     counts = variants(5, "ab", 120)
     for number, size in enumerate((7, 8)):
-        own = sorted(word for word in counts if len(word) in (size, size + 1))
-        block += [number] * len(own)
-        length += [size] * len(own)
-        part += [0] * len(own)
-        words += own
+        for at in range(4):  # as if all words agreed in all other parts
+            own = sorted(word for word in counts if len(word) in (size, size + 1))
+            block += [4 * number + at] * len(own)
+            length += [size] * len(own)
+            part += [at] * len(own)
+            words += own
     arrays = [np.array(x) for x in (block, length, part)]
-    whole = {(words[a], words[b]) for a, b in zip(*spelling._near_rows(*arrays, words))}
+    found = [frozenset((words[a], words[b])) for a, b in zip(*spelling._near_rows(*arrays, words))]
+    whole = set(found)
+    near = {frozenset(x) for x in itertools.combinations(set(words), 2) if edits(*x) == 1}
+    # Words of 9 code points only meet shorter ones here.
+    assert whole == {x for x in near if min(map(len, x)) < 9} and len(found) == len(whole)
     monkeypatch.setattr(spelling, "_TILE", 7)
-    pieces = {(words[a], words[b]) for a, b in zip(*spelling._near_rows(*arrays, words))}
+    pieces = {frozenset((words[a], words[b])) for a, b in zip(*spelling._near_rows(*arrays, words))}
     assert pieces == whole and len(whole) > 10
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
     try:
