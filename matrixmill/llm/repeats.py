@@ -20,14 +20,14 @@ words also start in a text with a smaller id is removed. The steps:
    recurring windows whose 64-bit hashes are equal could hide one of them; nothing is ever
    removed by a hash alone.
 
-Texts with equal words are reduced to one before step 1, so a text with a third of all rows
-takes part once; the copies with larger ids are removed whole.
+Equal texts are reduced to one before step 1, so a text with a third of all rows takes part
+once; the copies with larger ids are removed whole.
 
 Words are separated by the characters U+0020 and U+0009 to U+000D; all others belong to words,
 unchanged. Null and blank texts have no words. Rows are judged one by one: repeated rows give
 repeated results, and rows of one id never remove each other. A row without id neither loses
 words nor makes others lose any. An empty table gives an empty result. Other columns take no
-part, whatever their names. A long text is held whole by one task at a time, with about 60
+part, whatever their names. A long text is held whole by one task at a time, with some hundred
 bytes a word; a word of any length is one word.
 """
 
@@ -40,10 +40,10 @@ import ahocorasick
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from matrixmill.llm.common import map_batches
+from matrixmill.llm.common import map_batches, utf8_of
 from matrixmill.plans.joins import lookup_join
 from matrixmill.sources.tables import checkpointed, staged
 
@@ -54,27 +54,46 @@ SHARD_WORDS = 250_000
 STREAM_WORDS = 1_000_000
 
 _FACTOR = 0x9E3779B97F4A7C15
-_INVERSE = pow(_FACTOR, -1, 1 << 64)
 
 
-def words_of(text: Column) -> Column:
-    """The words of a text, joined by one space; ``''`` for none."""
-    return F.btrim(F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+", " "))
+class _Hashes(dict):
+    """Hashes of words, remembered until they take about ``limit`` bytes."""
 
+    def __init__(self, limit: int = 64 * 1024 * 1024) -> None:
+        super().__init__()
+        self._limit, self._size = limit, 0
 
-def _powers(base: int, count: int) -> np.ndarray:
-    powers = np.full(count, np.uint64(base))
-    powers[:1] = 1
-    with np.errstate(over="ignore"):
-        return np.cumprod(powers, dtype=np.uint64)
+    def __missing__(self, word: bytes) -> int:
+        self._size += len(word) + 200
+        self[word] = value = xxhash.xxh64_intdigest(word)
+        return value
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        if self._size > self._limit:
+            self.clear()
+            self._size = 0
+        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+
+
+_KNOWN = _Hashes()
+
+
+class _Powers:
+    """Powers of an odd number modulo 2**64, computed once up to the longest text so far."""
 
+    def __init__(self, base: int) -> None:
+        self._base, self._known = np.uint64(base), np.ones(1, np.uint64)
 
-def _token_hashes(words: str) -> np.ndarray:
-    known: dict[bytes, int] = {}
-    tokens = words.encode("utf-8", "surrogatepass").split(b" ")
-    for token in set(tokens):
-        known[token] = xxhash.xxh64_intdigest(token)
-    return np.fromiter(map(known.__getitem__, tokens), np.uint64, len(tokens))
+    def __call__(self, count: int) -> np.ndarray:
+        if count > len(self._known):
+            powers = np.full(max(count, 2 * len(self._known)), self._base)
+            powers[0] = 1
+            with np.errstate(over="ignore"):
+                self._known = np.cumprod(powers, dtype=np.uint64)
+        return self._known[:count]
+
+
+_UP, _DOWN = _Powers(_FACTOR), _Powers(pow(_FACTOR, -1, 1 << 64))
 
 
 def _run_hashes(hashes: np.ndarray, length: int) -> np.ndarray:
@@ -84,8 +103,8 @@ def _run_hashes(hashes: np.ndarray, length: int) -> np.ndarray:
         return np.zeros(0, np.uint64)
     with np.errstate(over="ignore"):
         sums = np.zeros(len(hashes) + 1, np.uint64)
-        np.cumsum(hashes * _powers(_INVERSE, len(hashes)), out=sums[1:])
-        mixed = (sums[length:] - sums[:-length]) * _powers(_FACTOR, count)
+        np.cumsum(hashes * _DOWN(len(hashes)), out=sums[1:])
+        mixed = (sums[length:] - sums[:-length]) * _UP(count)
         mixed ^= mixed >> np.uint64(30)
         mixed *= np.uint64(0xBF58476D1CE4E5B9)
         mixed ^= mixed >> np.uint64(27)
@@ -93,23 +112,32 @@ def _run_hashes(hashes: np.ndarray, length: int) -> np.ndarray:
         return mixed ^ (mixed >> np.uint64(31))
 
 
-def anchors_of(words: str, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _least_of(values: np.ndarray, spread: int) -> np.ndarray:
+    """Minimum of every ``spread`` consecutive values, by runs that double."""
+    size = 1
+    while 2 * size <= spread:
+        values = np.minimum(values[:-size], values[size:])
+        size *= 2
+    rest = spread - size
+    return np.minimum(values[: len(values) - rest], values[rest:]) if rest else values
+
+
+def anchors_of(words: list[bytes], window: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Anchor hashes of a text, with the first and the last window of each."""
-    phrases = _run_hashes(_token_hashes(words), PHRASE)
+    phrases = _run_hashes(_KNOWN.of(words), PHRASE)
     spread = window - PHRASE + 1
     if len(phrases) < spread:
         return np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.int32)
-    views = np.lib.stride_tricks.sliding_window_view(phrases, spread)
-    chosen = views.argmin(1) + np.arange(len(views))
-    first = np.flatnonzero(np.concatenate(([True], chosen[1:] != chosen[:-1])))
-    last = np.concatenate((first[1:] - 1, [len(views) - 1]))
-    return phrases[chosen[first]], first.astype(np.int32), last.astype(np.int32)
+    least = _least_of(phrases, spread)
+    first = np.flatnonzero(np.concatenate(([True], least[1:] != least[:-1])))
+    last = np.concatenate((first[1:] - 1, [len(least) - 1]))
+    return least[first], first.astype(np.int32), last.astype(np.int32)
 
 
 def _texts(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """``(id, words, sha)`` of every row."""
-    words = docs.select(F.col(id_column).alias("id"), words_of(F.col(text_column)).alias("words"))
-    return words.withColumn("sha", F.sha2("words", 256))
+    """``(id, text, sha)`` of every row."""
+    texts = docs.select(F.col(id_column).alias("id"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
+    return texts.withColumn("sha", F.sha2("text", 256))
 
 
 def _anchored(texts: DataFrame, window: int) -> DataFrame:
@@ -118,8 +146,9 @@ def _anchored(texts: DataFrame, window: int) -> DataFrame:
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         kept, columns = [], ([], [], [])
-        for row, words in enumerate(batch.column(1).to_pylist()):
-            if words.count(" ") + 1 >= window:
+        for row, text in enumerate(utf8_of(batch.column(1))):
+            words = text.split()
+            if len(words) >= window:
                 kept.append(row)
                 for column, values in zip(columns, anchors_of(words, window), strict=True):
                     column.append(values)
@@ -145,7 +174,7 @@ def _anchored(texts: DataFrame, window: int) -> DataFrame:
 
 
 def _marked(texts: DataFrame, anchored: DataFrame) -> DataFrame:
-    """Texts with an anchor that recurs: row, id, sha, words and ``spans`` of their windows."""
+    """Texts with an anchor that recurs: row, id, sha, text and ``spans`` of their windows."""
     spans = anchored.select(
         "row", "id", F.explode(F.arrays_zip("anchors", "firsts", "lasts")).alias("x")
     ).select("row", "id", F.col("x.anchors").alias("anchor"), F.col("x.firsts").alias("first"), F.col("x.lasts").alias("last"))
@@ -163,8 +192,8 @@ def _marked(texts: DataFrame, anchored: DataFrame) -> DataFrame:
         "spans",
     )
     keys = per_row.select("sha", "row", F.col("id").alias("least"))
-    words = lookup_join(texts, keys, "sha").filter("id = least").groupBy("row").agg(F.first("words").alias("words"))
-    return staged(words.join(per_row, "row"), "marked")
+    found = lookup_join(texts, keys, "sha").filter("id = least").groupBy("row").agg(F.first("text").alias("text"))
+    return staged(found.join(per_row, "row"), "marked")
 
 
 def _windows(marked: DataFrame, window: int) -> DataFrame:
@@ -172,8 +201,8 @@ def _windows(marked: DataFrame, window: int) -> DataFrame:
     kind = marked.schema["id"].dataType.simpleString()
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        for row in range(batch.num_rows):
-            hashes = _token_hashes(batch.column(2)[row].as_py())
+        for row, text in enumerate(utf8_of(batch.column(2))):
+            hashes = _KNOWN.of(text.split())
             spans = batch.column(3)[row].values
             first, last = (spans.field(name).to_numpy() for name in ("first", "last"))
             sizes = last - first + 1
@@ -194,7 +223,7 @@ def _windows(marked: DataFrame, window: int) -> DataFrame:
             )
 
     schema = f"key long, row long, id {kind}, at int, before long, after long"
-    return map_batches(marked.select("row", "id", "words", "spans"), run, schema)
+    return map_batches(marked.select("row", "id", "text", "spans"), run, schema)
 
 
 def _passages(marked: DataFrame, window: int) -> DataFrame:
@@ -203,13 +232,16 @@ def _passages(marked: DataFrame, window: int) -> DataFrame:
         _windows(marked, window)
         .groupBy("key")
         .agg(
-            F.min(F.struct("id", "row", "at")).alias("own"),
+            # One of the least text's occurrences: both columns are taken from the same row.
+            F.min("id").alias("least"),
             F.max("id").alias("most"),
+            F.min_by("row", "id").alias("row"),
+            F.min_by("at", "id").alias("at"),
             (F.bit_and("before") != F.bit_or("before")).alias("left"),
             (F.bit_and("after") != F.bit_or("after")).alias("right"),
         )
-        .filter("own.id < most")
-        .select("own.row", "own.at", "left", "right")
+        .filter("least < most")
+        .select("row", "at", "left", "right")
     )
     along = Window.partitionBy("row").orderBy("at")
     starts = F.col("left") | F.coalesce(
@@ -227,26 +259,26 @@ def _passages(marked: DataFrame, window: int) -> DataFrame:
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         owner, rows = [], []
-        for row in range(batch.num_rows):
-            tokens = batch.column(1)[row].as_py().split(" ")
+        for row, whole in enumerate(utf8_of(batch.column(1))):
+            tokens = whole.split()
             spans = batch.column(2)[row].values
             first, anchors = spans.field("first").to_pylist(), spans.field("anchor").to_pylist()
             for passage in batch.column(3)[row].as_py():
                 words = tokens[passage["first"] : passage["last"] + window]
                 owner.append(row)
-                rows.append((anchors[bisect_right(first, passage["first"]) - 1], len(words), " ".join(words)))
+                rows.append((anchors[bisect_right(first, passage["first"]) - 1], len(words), b" ".join(words)))
         anchor, count, text = zip(*rows, strict=True) if rows else ((), (), ())
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column(0).take(pa.array(owner, pa.int32())),
                 pa.array(anchor, pa.int64()),
                 pa.array(count, pa.int32()),
-                pa.array(text, pa.string()),
+                pa.array(text, pa.binary()).cast(pa.string()),
             ],
             names=["id", "anchor", "n_words", "words"],
         )
 
-    joined = marked.join(runs, "row").select("id", "words", "spans", "runs")
+    joined = marked.join(runs, "row").select("id", "text", "spans", "runs")
     return staged(map_batches(joined, run, f"id {kind}, anchor long, n_words int, words string"), "passages")
 
 
@@ -278,8 +310,8 @@ def _slots(marked: DataFrame, passages: DataFrame) -> DataFrame:
     schema = f"shard long, automata int, stream int, row long, id {kind}, start int, words string"
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        for row in range(batch.num_rows):
-            tokens = batch.column(2)[row].as_py().split(" ")
+        for row, text in enumerate(utf8_of(batch.column(2))):
+            tokens = text.split()
             stretches: list[list] = []
             for x in batch.column(3)[row].as_py():  # in order of shard and first word
                 if stretches and stretches[-1][0] == x["shard"] and x["first"] <= stretches[-1][4]:
@@ -297,7 +329,7 @@ def _slots(marked: DataFrame, passages: DataFrame) -> DataFrame:
                     batch.column(0).take(owner),
                     batch.column(1).take(owner),
                     pa.array(first, pa.int32()),
-                    pa.array([" ".join(tokens[a:b]) for a, b in zip(first, end, strict=True)], pa.string()),
+                    pa.array([b" ".join(tokens[a:b]) for a, b in zip(first, end, strict=True)], pa.binary()).cast(pa.string()),
                 ],
                 names=["shard", "automata", "stream", "row", "id", "start", "words"],
             )
@@ -307,7 +339,7 @@ def _slots(marked: DataFrame, passages: DataFrame) -> DataFrame:
         .groupBy("row")
         .agg(F.array_sort(F.collect_list(F.struct("shard", "first", "end", "automata", "streams"))).alias("wanted"))
     )
-    stretches = map_batches(marked.join(wanted, "row").select("row", "id", "words", "wanted"), run, schema).select(
+    stretches = map_batches(marked.join(wanted, "row").select("row", "id", "text", "wanted"), run, schema).select(
         "shard",
         F.explode(F.sequence(F.lit(0), F.col("automata") - 1)).alias("automaton"),
         "stream",
@@ -423,22 +455,45 @@ def remove_repeats(
         .select("sha", F.coalesce("least", "owner").alias("least"), "spans"),
         "changed",
     )
-    judged = lookup_join(texts, changed, "sha", "left").withColumn(
-        "n_words", F.expr("if(words = '', 0L, CAST(char_length(words) - char_length(replace(words, ' ', '')) + 1 AS long))")
-    )
-    own = """CASE WHEN id > least THEN array(struct(0 AS start, CAST(n_words AS int) AS end))
-        WHEN id = least AND spans IS NOT NULL THEN transform(split(spans, ','), x -> struct(
-            CAST(split(x, ':')[0] AS int) AS start, CAST(split(x, ':')[1] AS int) AS end))
-        ELSE array() END"""
-    # What is kept lies between the removed ranges: from the end of one to the start of the next.
-    kept = """CASE WHEN size(spans) = 0 THEN words
-        WHEN spans[0].start = 0 AND spans[0].end = n_words THEN ''
-        ELSE array_join(flatten(transform(sequence(0, size(spans)), i -> slice(split(words, ' '),
-            if(i = 0, 0, get(spans, i - 1).end) + 1,
-            if(i = size(spans), CAST(n_words AS int), get(spans, i).start) - if(i = 0, 0, get(spans, i - 1).end)))), ' ') END"""
-    return judged.withColumn("spans", F.expr(own)).select(
-        F.col("id").alias(id_column), "n_words", "spans", F.expr(kept).alias("kept_text")
+    judged = lookup_join(texts, changed, "sha", "left").select(
+        "id",
+        "text",
+        F.expr("CASE WHEN id > least THEN 'all' WHEN id = least THEN spans END").alias("spans"),
     )
+    return _kept(judged, id_column)
+
+
+def _kept(judged: DataFrame, id_column: str) -> DataFrame:
+    """What is left of each text of ``(id, text, spans)``; spans may be ``all``."""
+    kind = judged.schema["id"].dataType.simpleString()
+    span = pa.struct([("start", pa.int32()), ("end", pa.int32())])
+
+    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        counts, removed, kept = [], [], []
+        for text, spans in zip(utf8_of(batch.column(1)), batch.column(2).to_pylist(), strict=True):
+            words = text.split()
+            ranges = []
+            if spans == "all":
+                ranges = [(0, len(words))]
+            elif spans:
+                ranges = [tuple(map(int, x.split(":"))) for x in spans.split(",")]
+            counts.append(len(words))
+            removed.append([{"start": start, "end": end} for start, end in ranges])
+            for start, end in reversed(ranges):
+                del words[start:end]
+            kept.append(b" ".join(words))
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column(0),
+                pa.array(counts, pa.int64()),
+                pa.array(removed, pa.list_(span)),
+                pa.array(kept, pa.binary()).cast(pa.string()),
+            ],
+            names=["id", "n_words", "spans", "kept_text"],
+        )
+
+    schema = f"id {kind}, n_words long, spans array<struct<start: int, end: int>>, kept_text string"
+    return map_batches(judged, run, schema).withColumnRenamed("id", id_column)
 
 
 def digest(found: DataFrame, id_column: str = "doc_id") -> DataFrame:
