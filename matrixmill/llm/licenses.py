@@ -1,11 +1,13 @@
 """Licence scan: a trained classifier of paragraphs, confirmed by comparison with templates.
 
-A paragraph is a line of a text. Its features are n-grams of one to three words, not all
-short; a
-sparse multinomial logistic regression gives each licence family a probability, and one class
+A paragraph is a line of a text, or a statement wrapped over several: lines that follow each other,
+all with words of templates, are judged together as well if one of them is licence-like without a
+template, and count as one paragraph if together they have one. Its features are n-grams of one
+to three words, not all short; a sparse multinomial logistic regression gives each licence family a probability, and one class
 stands for paragraphs that are no licence statement. It is fitted on the templates, whole and
 in changed and shortened forms amid words of the corpus, and on at most ``MAX_LINES`` lines of
-the corpus, chosen by hash. The probabilities are calibrated by a temperature fitted on forms
+the corpus, chosen by hash among those of at most ``LINE_CHARACTERS`` characters; the words that
+statements are set amid are the first ``FILLER_WORDS`` of them. The probabilities are calibrated by a temperature fitted on forms
 and lines that were held out. A prediction counts if the paragraph shares enough word n-grams
 with a template of the family; a licence-like paragraph without such a template is reported
 as ``unknown``.
@@ -13,7 +15,7 @@ as ``unknown``.
 Only n-grams of the templates have weights, so a paragraph without any has the unchanging
 probabilities of an empty one and is passed over. Null and empty texts have no paragraphs;
 repeated rows and ids are each scanned; an empty table gives an empty result. Whole texts are
-read; other columns take no part.
+read, a long one by one task; other columns take no part, whatever their names.
 """
 
 from __future__ import annotations
@@ -70,6 +72,11 @@ LONGEST_GRAM = 3
 #: Letters of a word that makes an n-gram tell something; "of the" tells nothing.
 TELLING = 5
 FORMS_PER_TEMPLATE = 60
+#: Characters of a line to learn from, and words that statements are set amid.
+LINE_CHARACTERS = 1000
+FILLER_WORDS = 20_000
+_SPARE = 4
+_HASHES = 1 << 40
 MAX_LINES = 4_000
 #: Least probability of being a licence statement, and least share of a template's n-grams.
 LIKELY = 0.5
@@ -167,7 +174,7 @@ def fit_model(lines: list[str], templates: dict[str, tuple[str, ...]] = TEMPLATE
         own = _pairs(words)
         if words and all(len(own & pairs) < 0.4 * len(pairs) for _, pairs in known):
             plain.append(words)
-    filler = [word for words in plain for word in words][:20_000]
+    filler = [word for words in plain for word in words][:FILLER_WORDS]
     classes = (_NONE, *templates)
     grams: dict[str, int] = {}
     for texts in templates.values():
@@ -196,13 +203,21 @@ def fit_model(lines: list[str], templates: dict[str, tuple[str, ...]] = TEMPLATE
 
 
 def sample_lines(docs: DataFrame, text_column: str = "text", most: int = MAX_LINES) -> list[str]:
-    """Different paragraphs of the corpus, at most ``most``, of at most 1,000 characters each."""
-    lines = docs.select(F.explode(F.split(F.col(text_column), "\n")).alias("line")).filter(
-        "char_length(line) BETWEEN 1 AND 1000"
+    """Different paragraphs of the corpus, at most ``most``: those with the least hashes.
+
+    The lines are counted first. The count gives a threshold that about ``_SPARE * most`` lines
+    stay below, so no task is sent more than that, and equal lines are merged before.
+    """
+    text = F.col(text_column)
+    count = F.char_length(text) - F.char_length(F.replace(text, F.lit("\n"))) + 1
+    total = docs.agg(F.sum(count.cast("long"))).first()[0] or 0
+    lines = docs.select(F.explode(F.split(text, "\n")).alias("line")).filter(
+        F.char_length("line").between(1, LINE_CHARACTERS)
     )
-    # The first by hash, with spare ones for equal lines.
-    firsts = lines.select("line", F.xxhash64("line").alias("h")).orderBy("h", "line").limit(4 * most)
-    return [row["line"] for row in firsts.dropDuplicates(["line"]).orderBy("h", "line").limit(most).collect()]
+    hashed = lines.select("line", F.pmod(F.xxhash64("line"), F.lit(_HASHES)).alias("h"))
+    if total > _SPARE * most:
+        hashed = hashed.filter(F.col("h") < _HASHES * _SPARE * most // total)
+    return [row["line"] for row in hashed.dropDuplicates(["line"]).orderBy("h", "line").limit(most).collect()]
 
 
 def _confirmation(words: list[str], templates: list[set]) -> float:
@@ -239,6 +254,28 @@ def scan(
         share = _confirmation(words, compared[family])
         return number, family if share >= CONFIRMED else UNKNOWN, float(likely), float(shares[best]), share, line
 
+    def statements(numbers: list[int], lines: list[str]) -> list[tuple]:
+        """What lines that follow each other state, each for itself or wrapped."""
+        alone = [found for number in numbers if (found := judged(number, lines[number]))]
+        open_ones = [found[0] for found in alone if found[1] == UNKNOWN]
+        if not open_ones or len(numbers) == 1:
+            return alone
+        # Up to the confirmed statements, a run may be one statement over several lines.
+        result = [found for found in alone if found[1] != UNKNOWN]
+        closed = {found[0] for found in result}
+        runs: list[list[int]] = [[]]
+        for number in numbers:
+            if number in closed:
+                runs.append([])
+            else:
+                runs[-1].append(number)
+        by_number = {found[0]: found for found in alone}
+        for own in runs:
+            parts = [by_number[number] for number in own if number in by_number]
+            whole = judged(parts[0][0], " ".join(lines[own[0] : own[-1] + 1])) if parts and len(own) > 1 else None
+            result += [whole] if whole and whole[1] != UNKNOWN else parts
+        return sorted(result)
+
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         grams = model.grams
         # Every n-gram of a template has a telling word, which is an n-gram itself.
@@ -251,11 +288,11 @@ def scan(
             known = table.values([word for words in tokens for word in words])[0]
             totals = np.concatenate(([0], np.cumsum(known)))
             ends = np.cumsum(counts)
-            for number in np.flatnonzero(totals[ends] > totals[ends - counts]).tolist():
-                found = judged(number, lines[number])
-                if found:
-                    owner.append(row)
-                    rows.append(found)
+            telling = np.flatnonzero(totals[ends] > totals[ends - counts])
+            for together in np.split(telling, np.flatnonzero(np.diff(telling) > 1) + 1):
+                found = statements(together.tolist(), lines)
+                owner += [row] * len(found)
+                rows += found
         columns = list(zip(*rows, strict=True)) if rows else [()] * len(names)
         yield pa.RecordBatch.from_arrays(
             [

@@ -71,3 +71,42 @@ def test_query(spark, data, texts):
     found = {(row["doc_id"], row["paragraph"]) for row in rows if row["family"] != "unknown"}
     lines = {(k, n) for k, t in texts.items() for n, line in enumerate((t or "").split("\n")) if line in known}
     assert lines <= found
+
+
+def test_wrapped_statements_are_one_paragraph(spark, model, lines):
+    grant = licenses.TEMPLATES["mit"][1].split()
+    wrapped = [" ".join(grant[:9]), " ".join(grant[9:18]), " ".join(grant[18:])]
+    text = "\n".join([lines[0], "zzz yyy", *wrapped, "xxx www", licenses.TEMPLATES["apache"][0]])
+    rows = licenses.scan(spark.createDataFrame([(1, text)], "doc_id long, text string"), model).collect()
+    found = [(row["family"], row["paragraph"]) for row in rows if row["family"] != "unknown"]
+    assert [family for family, _ in found] == ["mit", "apache"] and found[1] == ("apache", 6)
+    assert 2 <= found[0][1] <= 4
+    mit = next(row["statement"] for row in rows if row["family"] == "mit")
+    assert all(part in mit for part in wrapped)
+
+
+def test_other_wording_is_found_and_mostly_named(spark, model):
+    """Statements in words that no template has, and sentences about licences that state none."""
+    stated = {
+        "mit": ["This project is distributed under the terms of the MIT License", "Code: MIT License."],
+        "apache": ["The code is available under the Apache License, Version 2.0", "Apache License, Version 2.0"],
+        "gpl": ["You may use it under the GNU General Public License, version 3", "GNU General Public License version 3"],
+        "bsd": ["Sources come under the BSD 3-Clause License", "It is BSD 3-Clause licensed"],
+    }
+    rows = [(family, text) for family, texts in stated.items() for text in texts]
+    frame = spark.createDataFrame([(i, text) for i, (_, text) in enumerate(rows)], "doc_id long, text string")
+    named = {row["doc_id"]: row["family"] for row in licenses.scan(frame, model).collect()}
+    assert sum(i in named for i in range(len(rows))) >= 6
+    assert sum(named.get(i) == family for i, (family, _) in enumerate(rows)) >= 4
+    assert all(named[i] in (rows[i][0], "unknown") for i in named)
+    idle = ["He was granted permission to leave", "the public library lends free software", "in source and binary form"]
+    other = spark.createDataFrame(list(enumerate(idle)), "doc_id long, text string")
+    assert [row["family"] for row in licenses.scan(other, model).collect() if row["family"] != "unknown"] == []
+
+
+def test_the_sample_is_the_lines_of_least_hash(spark):
+    rows = [(i, "\n".join(f"line {i} {k}" for k in range(20)) + "\nsame line\n" + "x" * 2000) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    picked = licenses.sample_lines(docs, most=50)
+    assert len(picked) == len(set(picked)) == 50
+    assert picked == licenses.sample_lines(docs.coalesce(1), most=5000)[:50]
