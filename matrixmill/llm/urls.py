@@ -9,8 +9,11 @@ fitting rule decides. Other urls are judged by trees on length, depth, digit rat
 parameters and statistics of the host's suffix, fitted on labelled urls. Where no labels are
 given, the urls that a rule decides are the labelled ones. At most ``MAX_ROWS`` of them are
 used, chosen by hash. With labels of one kind only, that kind is the verdict of all others;
-without any labels it is ``allow``. Repeated rows are each judged; an empty table gives an
-empty result; other columns take no part.
+without any labels it is ``allow``. The statistics of suffixes are always those of the pages that
+are judged, for the labelled urls too; a suffix that no page has counts as empty. Repeated rows
+are each judged; an empty table gives an empty result; other columns take no part, whatever
+their names. A long url is one row like any other; its features take time in proportion to its
+length and its different characters.
 """
 
 from __future__ import annotations
@@ -25,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from matrixmill.llm.common import ascii_lower
+from matrixmill.plans.joins import lookup_join
 from matrixmill.sources.tables import checkpointed
 
 MAX_ROWS = 10_000
@@ -73,19 +77,24 @@ def _count(text: str, characters: str) -> str:
     return f"CAST(char_length({text}) - char_length(translate({text}, '{characters}', '')) AS double)"
 
 
-def add_features(parts: DataFrame) -> DataFrame:
-    """Adds :data:`FEATURES` to rows with ``url``, ``host`` and ``path``.
+def suffix_statistics(parts: DataFrame) -> tuple[DataFrame, int]:
+    """``(suffix, urls, suffix_path_length)`` of the last two labels of hosts, and the number of urls.
 
-    The statistics of the last two labels of a host cover all rows. They are grouped before
-    they are joined back, so a suffix with a third of all rows is one row per task.
+    They are grouped and stored before they are joined back, so a suffix with a third of all
+    rows is one row per task.
     """
-    suffix = F.substring_index("host", ".", -2)
-    keyed = parts.withColumn("suffix", suffix)
-    by_suffix = keyed.groupBy("suffix").agg(
-        F.count(F.lit(1)).alias("urls"), F.avg(F.char_length("path")).alias("suffix_path_length")
+    by_suffix = checkpointed(
+        parts.groupBy(F.substring_index("host", ".", -2).alias("suffix")).agg(
+            F.count(F.lit(1)).alias("urls"), F.avg(F.char_length("path")).alias("suffix_path_length")
+        )
     )
-    by_suffix = checkpointed(by_suffix)
-    total = by_suffix.agg(F.sum("urls")).first()[0] or 1
+    return by_suffix, by_suffix.agg(F.sum("urls")).first()[0] or 1
+
+
+def add_features(parts: DataFrame, statistics: tuple[DataFrame, int]) -> DataFrame:
+    """Adds :data:`FEATURES` to rows with ``url``, ``host`` and ``path``."""
+    by_suffix, total = statistics
+    keyed = parts.withColumn("suffix", F.substring_index("host", ".", -2))
     text, digits = "coalesce(url, '')", "0123456789"
     share = "(char_length(t) - char_length(replace(t, c, ''))) / char_length(t)"
     exprs = {
@@ -103,10 +112,10 @@ def add_features(parts: DataFrame) -> DataFrame:
         "query_length": f"if(contains({text}, '?'), CAST(char_length(substring_index({text}, '?', -1)) AS double), 0.0)",
         "fragment": f"if(contains({text}, '#'), 1.0, 0.0)",
         "secure": f"if(startswith({text}, 'https:'), 1.0, 0.0)",
-        "suffix_share": f"CAST(urls AS double) / {total}",
-        "suffix_path_length": "suffix_path_length",
+        "suffix_share": f"coalesce(CAST(urls AS double), 0.0) / {total}",
+        "suffix_path_length": "coalesce(suffix_path_length, 0.0)",
     }
-    joined = keyed.join(by_suffix, "suffix").withColumn("t", F.expr(text))
+    joined = lookup_join(keyed, by_suffix, "suffix", "left").withColumn("t", F.expr(text))
     return joined.select(*parts.columns, *[F.expr(exprs[name]).cast("double").alias(name) for name in FEATURES])
 
 
@@ -135,7 +144,8 @@ def judge(
     ``labelled`` may give ``(url, label)`` to learn from, with label 1 for urls to block.
     """
     parts = add_parts(pages.select(id_column, "url"))
-    features = add_features(parts).withColumns(
+    statistics = suffix_statistics(parts)
+    features = add_features(parts, statistics).withColumns(
         {"rule": rule_column(rules, "name"), "by_rule": rule_column(rules, "verdict")}
     )
     if labelled is None:
@@ -143,7 +153,8 @@ def judge(
             "label", (F.col("by_rule") == BLOCK).cast("double")
         )
     else:
-        known = add_features(add_parts(labelled.select("url", F.col("label").cast("double").alias("label"))))
+        given = add_parts(labelled.select("url", F.col("label").cast("double").alias("label")))
+        known = add_features(given, statistics)
     model = fit_model(known)
     if isinstance(model, float):
         judged = features.withColumn("prediction", F.lit(model))

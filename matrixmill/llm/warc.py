@@ -14,7 +14,8 @@ in payload and id one is the response. An empty table gives archives without pag
 Archive files are opened by pyarrow at the folder's URI (local or shared path, HDFS, S3,
 GCS); the folder must be one that all executors share. A task names its files at random and
 they count only if listed in the manifest, which holds the files of tasks that ended well.
-``pages`` must be a stored table: it is read twice and rows are told apart by their place.
+``pages`` must be a stored table: it is read twice and rows are told apart by their place. Other
+columns take no part, whatever their names. A long payload is written and read in chunks.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from matrixmill.plans.joins import lookup_join
 from matrixmill.sources.tables import checkpointed
 
 CHUNK_BYTES = 1 << 20
@@ -58,6 +60,8 @@ def chunk_rows(pages: DataFrame, id_column: str = "page_id", html_column: str =
 
     A record has at least one row; the rows of a record follow each other in order. Only the
     digests are grouped, not the pages, and each group reaches the shuffle as one row a task.
+    The digests that repeat are looked up by :func:`lookup_join`: while their measured size
+    allows it they are broadcast, and no payload moves.
     """
     payload = F.encode(F.coalesce(F.col(html_column), F.lit("")), "UTF-8")
     rows = pages.select(
@@ -75,7 +79,7 @@ def chunk_rows(pages: DataFrame, id_column: str = "page_id", html_column: str =
     )
     revisit = F.col("best_row").isNotNull() & (F.col("best_row") != F.col("row"))
     number = F.when(revisit, 1).otherwise(F.greatest(F.ceil(F.col("bytes") / chunk_bytes), F.lit(1))).cast("int")
-    typed = rows.join(repeated, "sha1", "left").withColumns({"revisit": revisit, "number": number})
+    typed = lookup_join(rows, repeated, "sha1", "left").withColumns({"revisit": revisit, "number": number})
     return typed.select(
         "page_id", "url", "row", "sha1", "bytes", "revisit", "best_id", "best_row", "number", "payload",
         F.explode(F.sequence(F.lit(0), F.col("number") - 1)).alias("chunk"),

@@ -3,6 +3,7 @@ from __future__ import annotations
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from matrixmill.llm import urls
 from matrixmill.llm.queries import URL_RULES
@@ -91,6 +92,34 @@ def test_labels_of_one_kind_and_none(spark, labelled):
 
 
 def test_entropy(spark):
-    row = urls.add_features(urls.add_parts(spark.createDataFrame([("abab://",)], "url string"))).first()
+    parts = urls.add_parts(spark.createDataFrame([("abab://",)], "url string"))
+    row = urls.add_features(parts, urls.suffix_statistics(parts)).first()
     assert row["entropy"] == pytest.approx(2 * (2 / 7 * 1.8073549) + 1 / 7 * 2.8073549 + 2 / 7 * 1.8073549, abs=1e-5)
     assert (row["host_length"], row["depth"], row["parameters"]) == (0, 0, 0)
+
+
+def test_held_out_urls_are_judged_as_the_rules_would(spark, data):
+    """The trees learn from two thirds of the urls that rules decide, and see no rules."""
+    from matrixmill.llm.queries import URL_RULES
+
+    pages = spark.read.parquet(data.replace("sf0.001", "sf0.1") + "/pages.parquet").select("page_id", "url")
+    ruled = urls.add_parts(pages).withColumn("truth", urls.rule_column(URL_RULES, "verdict")).filter("truth IS NOT NULL")
+    ruled = ruled.withColumn("part", F.pmod(F.crc32(F.col("url").cast("binary")), F.lit(3)))
+    labelled = ruled.filter("part > 0").select("url", (F.col("truth") == "block").cast("int").alias("label"))
+    held = ruled.filter("part = 0")
+    judged = urls.judge(held.select("page_id", "url"), (), labelled).join(held.select("page_id", "truth"), "page_id")
+    rows = judged.select("truth", "verdict").collect()
+    right = sum(row["truth"] == row["verdict"] for row in rows)
+    common = max(sum(row["truth"] == kind for row in rows) for kind in ("allow", "block"))
+    # What the rules look at, letters of the path, is no lexical feature: the trees know part of it.
+    assert len(rows) > 100 and right > common, (right, common, len(rows))
+    assert right >= 0.75 * len(rows)
+
+
+def test_suffix_statistics_mean_the_same_for_labels_and_pages(spark):
+    pages = spark.createDataFrame([(i, f"https://a.{'b' if i % 4 else 'c'}.org/x{i}") for i in range(40)], "page_id long, url string")
+    statistics = urls.suffix_statistics(urls.add_parts(pages))
+    few = spark.createDataFrame([("https://q.b.org/y",), ("http://new.net/",), (None,)], "url string")
+    rows = {row["url"]: row for row in urls.add_features(urls.add_parts(few), statistics).collect()}
+    assert rows["https://q.b.org/y"]["suffix_share"] == 0.75 and rows["http://new.net/"]["suffix_share"] == 0.0
+    assert len(rows) == 3
