@@ -27,6 +27,12 @@ def fresh_name(df: DataFrame, base: str) -> str:
     return base
 
 
+def other_columns(df: DataFrame, *names: str) -> list[int]:
+    """Places of the columns with none of these names, whatever their case."""
+    taken = {name.lower() for name in names}
+    return [at for at, name in enumerate(df.columns) if name.lower() not in taken]
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-cases A-Z and leaves every other character; null stays null.
 
@@ -90,27 +96,35 @@ class _Numbers(dict):
 class TokenTable:
     """Values that ``describe`` gives for tokens, computed once per token and remembered.
 
-    Everything is forgotten once ``limit`` tokens are held, so memory stays bounded however
-    long a task runs.
+    Everything is forgotten once ``limit`` tokens are held, or tokens of ``letters`` characters
+    in all, so memory stays bounded however long a task runs and however long its tokens are.
     """
 
-    def __init__(self, describe: Callable[[str], tuple], dtypes: tuple, limit: int = 400_000):
-        self._describe, self._dtypes, self._limit = describe, dtypes, limit
+    def __init__(
+        self,
+        describe: Callable[[str], tuple],
+        dtypes: tuple,
+        limit: int = 400_000,
+        letters: int = 16 * 1024 * 1024,
+    ):
+        self._describe, self._dtypes, self._limit, self._letters = describe, dtypes, limit, letters
         self._forget()
 
     def _forget(self) -> None:
         self._numbers = _Numbers()
+        self._held = 0
         # Grown by doubling, so that adding tokens costs no copy of all known ones.
         self._columns = [np.zeros(1024, kind) for kind in self._dtypes]
 
     def values(self, tokens: list[str]) -> list[np.ndarray]:
         """One array per described value, with an entry per token."""
-        if len(self._numbers) > self._limit:
+        if len(self._numbers) > self._limit or self._held > self._letters:
             self._forget()
         numbers = self._numbers
         known = len(numbers)
         at = np.fromiter(map(numbers.__getitem__, tokens), np.int64, len(tokens))
         if numbers.new:
+            self._held += sum(map(len, numbers.new))
             rows = zip(*map(self._describe, numbers.new), strict=True)
             numbers.new = []
             for place, values in enumerate(rows):

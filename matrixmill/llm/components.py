@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from matrixmill.plans.joins import lookup_join
 from matrixmill.sources.tables import checkpointed
 
 
@@ -12,16 +13,16 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     """Links neighbours of each node to the smallest of them and the node.
 
     ``edges`` hold ``(hi, lo)`` with ``hi > lo``. The large star links the larger neighbours,
-    the small star the smaller ones. The minimum is a partial aggregation and the join back
-    can be split, so a node with very many edges does not end in one task.
+    the small star the smaller ones. The minimum is a partial aggregation, and is stored before
+    it is joined back, so that a node with very many edges does not end in one task.
     """
     both = edges.select(F.col("hi").alias("node"), F.col("lo").alias("other"))
     if large:
         both = both.unionByName(edges.select(F.col("lo").alias("node"), F.col("hi").alias("other")))
-    least = both.groupBy("node").agg(F.min("other").alias("least")).select(
-        "node", F.least("node", "least").alias("least")
+    least = checkpointed(
+        both.groupBy("node").agg(F.min("other").alias("least")).select("node", F.least("node", "least").alias("least"))
     )
-    linked = both.join(least, "node")
+    linked = lookup_join(both, least, "node")
     if large:
         linked = linked.filter("other > node").select(F.col("other").alias("hi"), F.col("least").alias("lo"))
     else:
@@ -48,7 +49,8 @@ def connected_components(edges: DataFrame, left: str, right: str) -> DataFrame:
     )
     seen = _digest(current)
     while True:
-        current = checkpointed(_star(_star(current, large=True), large=False))
+        grown = checkpointed(_star(current, large=True))
+        current = checkpointed(_star(grown, large=False))
         now = _digest(current)
         if now == seen:
             break

@@ -29,8 +29,10 @@ MAX_TOKENS = 2048
 END_ID = 1
 VOCABULARY = "word_bpe_49k.json"
 
-#: Words whose ids one worker remembers before it starts afresh, about 200 bytes each.
+#: Words whose ids one worker remembers before it starts afresh, about 200 bytes each, and the
+#: characters and bytes of ids that they and theirs may have in all.
 REMEMBERED_WORDS = 600_000
+REMEMBERED_BYTES = 64 * 1024 * 1024
 _TOKEN_BYTES = 4
 
 #: Punctuation that may end a word of letters without changing how the letters are cut.
@@ -70,6 +72,7 @@ class WordTokenizer:
         self._tokenizer = Tokenizer.from_file(path)
         self._model = self._tokenizer.model
         self._known: dict[str, bytes] = {"": b""}
+        self._held = 0
 
     def _letters(self, word: str) -> bytes | None:
         """Ids of a word of letters only, or nothing where its prepared form is less certain."""
@@ -88,6 +91,7 @@ class WordTokenizer:
                 found = self._letters(letters)
             if found is not None and len(letters) < len(word):
                 known[letters] = found
+                self._held += len(letters) + len(found)
                 ending = word[len(letters) :]
                 if ending not in known:
                     known[ending] = self._whole(ending)
@@ -95,6 +99,7 @@ class WordTokenizer:
         if found is None:
             found = self._whole(word)
         known[word] = found
+        self._held += len(word) + len(found)
         return found
 
     def _whole(self, text: str) -> bytes:
@@ -103,8 +108,8 @@ class WordTokenizer:
     def ids(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit numbers."""
         words = text.split(" ")
-        if len(self._known) > REMEMBERED_WORDS:
-            self._known = {"": b""}
+        if len(self._known) > REMEMBERED_WORDS or self._held > REMEMBERED_BYTES:
+            self._known, self._held = {"": b""}, 0
         found = list(map(self._known.get, words))
         if None in found:
             known, encode = self._known, self._encode

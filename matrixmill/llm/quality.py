@@ -7,7 +7,8 @@ a batch of texts walks down all of them at once in numpy.
 
 Fitting uses at most ``MAX_ROWS`` labelled documents, chosen by the hash of their id; of those
 only the statistics reach the driver. Several labels of one document count as good if one
-is. Without labels every score is 0.5. The statistics of a text without words (null, empty)
+is. Without labels every score is 0.5. Other columns are kept; one with the name of an output is
+replaced by it. The statistics of a text without words (null, empty)
 are 0; it is scored like any other. Repeated rows and ids are each scored; an empty table
 gives an empty result. Whole texts are read.
 """
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matrixmill.llm.common import map_batches, texts_of
+from matrixmill.llm.common import map_batches, other_columns, texts_of
 from matrixmill.sources.tables import checkpointed
 
 MAX_ROWS = 20_000
@@ -158,7 +159,7 @@ def add_statistics(docs: DataFrame, text_column: str = "text", output: str = "st
 
 def _with_values(docs: DataFrame, text_column: str, output: str, kind: str, of) -> DataFrame:
     at = docs.columns.index(text_column)
-    kept = [i for i in range(len(docs.columns)) if i != at]
+    kept = other_columns(docs, text_column, output)
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         values = np.array([statistics(text) for text in texts_of(batch.column(at))])

@@ -15,7 +15,9 @@ into blocks and each pair of blocks compared on its own, so no task holds the wh
 Words are what ``[^\\x20\\x09-\\x0D]+`` matches after lower-casing A-Z. Texts with fewer than
 ``SHINGLE`` words have one shingle, texts without words (null, empty) fingerprint zero, linked
 like any other. Ids may repeat or be null: equal texts share a component, whose id is its
-smallest id, and null only if it has no other. An empty table gives an empty result.
+smallest id, and null only if it has no other. An empty table gives an empty result. Other
+columns take no part, whatever their names; :func:`drop_near_duplicates` keeps them. A long text
+is held whole by one task with the hashes of one portion of its shingles.
 """
 
 from __future__ import annotations
@@ -28,8 +30,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matrixmill.llm.common import fresh_name, map_batches, utf8_of
+from matrixmill.llm.common import fresh_name, map_batches, other_columns, utf8_of
 from matrixmill.llm.components import connected_components
+from matrixmill.plans.joins import lookup_join
 from matrixmill.sources.tables import checkpointed, staged
 
 SHINGLE = 4
@@ -71,18 +74,20 @@ def text_fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
 def add_fingerprints(
     docs: DataFrame, text_column: str, output: str = "fingerprint", shingle: int = SHINGLE
 ) -> DataFrame:
-    """``docs`` with the fingerprint as a signed long; all columns are kept."""
+    """``docs`` with the fingerprint as a signed long; a column of that name is replaced."""
 
     at = docs.columns.index(text_column)
+    kept = other_columns(docs, output)
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         texts = utf8_of(batch.column(at))
         values = np.array([text_fingerprint(text, shingle) for text in texts], np.uint64)
         yield pa.RecordBatch.from_arrays(
-            [*batch.columns, pa.array(values.view(np.int64))], names=[*batch.schema.names, output]
+            [*[batch.column(i) for i in kept], pa.array(values.view(np.int64))],
+            names=[*[batch.schema.names[i] for i in kept], output],
         )
 
-    schema = docs.withColumn(output, F.lit(0).cast("long")).schema
+    schema = docs.select(*[F.col(f"`{docs.columns[i]}`") for i in kept]).withColumn(output, F.lit(0).cast("long")).schema
     return map_batches(docs, run, schema)
 
 
@@ -248,13 +253,14 @@ def components(fingerprinted: DataFrame, id_column: str, fp: str, distance: int
         )
     )
     roots = connected_components(fingerprint_links(distinct.select("fp"), distance), "a", "b")
-    rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
-        "root", F.coalesce("root", "fp")
+    rooted = checkpointed(
+        distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     )
-    whole = rooted.groupBy("root").agg(
-        F.min("least_id").alias("component_id"), F.sum("rows").alias("members")
+    # Stored before it is joined back: then a large component's rows can be spread.
+    whole = checkpointed(
+        rooted.groupBy("root").agg(F.min("least_id").alias("component_id"), F.sum("rows").alias("members"))
     )
-    return rooted.select("fp", "root").join(whole, "root").select("fp", "root", "component_id", "members")
+    return lookup_join(rooted.select("fp", "root"), whole, "root").select("fp", "root", "component_id", "members")
 
 
 def near_duplicates(

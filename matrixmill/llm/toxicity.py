@@ -12,10 +12,14 @@ text is the largest marginal probability of label 1 of its words, from forward a
 messages over whole chains; words of 0.5 or more form the offending spans, given as code
 points with the end exclusive.
 
-Fitting uses at most ``MAX_TOXIC`` toxic and ``MAX_OTHER`` other labelled documents, and at
-most ``MAX_CHAINS`` chains, both chosen by hash. Several labels of one document count as toxic if one
+Fitting uses at most ``MAX_TOXIC`` toxic and ``MAX_OTHER`` other labelled documents, at most
+``MAX_CHAINS`` chains, both chosen by hash, the ``MAX_MARKS`` marks of most evidence, and cuts
+training chains every ``CHAIN_WORDS`` words, so that what the driver fits is bounded. Scoring
+bounds nothing: it takes whole texts and whole chains. Several labels of one document count as toxic if one
 is. Without toxic labels every score is 0. Texts without words, null among them, score 0.
-Repeated rows and ids are each scored; an empty table gives an empty result.
+Repeated rows and ids are each scored; an empty table gives an empty result. Other columns are
+kept; one with the name of an output is replaced by it. A long text is held whole by one task,
+with some numbers for each of its words.
 """
 
 from __future__ import annotations
@@ -30,12 +34,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from matrixmill.llm import crf
-from matrixmill.llm.common import TokenTable, fresh_name, map_batches, texts_of
+from matrixmill.llm.common import TokenTable, fresh_name, map_batches, other_columns, texts_of
 from matrixmill.sources.tables import checkpointed
 
 MAX_TOXIC = 4_000
 MAX_OTHER = 8_000
 MAX_CHAINS = 20_000
+CHAIN_WORDS = 200
 
 #: Beginnings of words that count as a feature, by length.
 STEMS = (4, 5, 6)
@@ -155,7 +160,7 @@ def _chains(sample: DataFrame, marks: frozenset) -> DataFrame:
             chain: list[str] = []
             for token in text.split():
                 chain.append(_strip(token))
-                if _ends_chain(token) or len(chain) == 200:
+                if _ends_chain(token) or len(chain) == CHAIN_WORDS:
                     words.append(chain)
                     labels.append(toxic)
                     chain = []
@@ -243,7 +248,7 @@ def tag(
 ) -> DataFrame:
     """``docs`` with the toxicity score and the offending spans of each text."""
     at = docs.columns.index(text_column)
-    kept = [i for i, name in enumerate(docs.columns) if keep_text or i != at]
+    kept = other_columns(docs, score, spans, *([] if keep_text else [text_column]))
     state: dict[str, TokenTable] = {}
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:

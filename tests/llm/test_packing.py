@@ -9,6 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from matrixmill.llm import packing
+from matrixmill.llm.common import TokenTable
 
 tokenizers = pytest.importorskip("tokenizers")
 
@@ -75,3 +76,21 @@ def test_awkward_rows(awkward, no_documents, tokenizer):
     assert packing.pack(no_documents).collect() == []
     with pytest.raises(ValueError, match="power of two"):
         packing.pack(awkward, longest=1000)
+
+
+def test_remembered_words_are_bounded_by_their_bytes(monkeypatch):
+    """Long words are forgotten in time, and ids stay the same."""
+    monkeypatch.setattr(packing, "REMEMBERED_BYTES", 20_000)
+    tokenizer = packing.WordTokenizer(packing.vocabulary_path())
+    texts = [f"{chr(97 + k % 26) * 3000}{k} short words, again" for k in range(40)]
+    for text in texts:
+        assert tokenizer.ids(text) == tokenizer._whole(text)
+        assert sum(map(len, tokenizer._known)) < 60_000
+
+
+def test_token_tables_are_bounded_by_their_letters():
+    table = TokenTable(lambda token: (len(token),), (np.int64,), letters=5000)
+    for k in range(50):
+        tokens = [f"{k}" * 800, "a", "bc"]
+        assert table.values(tokens)[0].tolist() == [len(token) for token in tokens]
+        assert sum(map(len, table._numbers)) < 8000

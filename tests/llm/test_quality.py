@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pytest
 
@@ -64,3 +66,26 @@ def test_awkward_rows(spark, awkward, no_documents):
     assert quality.score(no_documents, forest, output="_score").collect() == []
     nothing = quality.fit_model(no_documents, labels.limit(0))
     assert {row["_score"] for row in quality.score(awkward, nothing, output="_score").collect()} == {0.5}
+
+
+def test_query_has_the_contracts_columns_and_judges_held_out_rows(spark, data):
+    from matrixmill.llm.queries import op8_quality
+
+    data = data.replace("sf0.001", "sf0.01")  # the smallest table with enough labels to learn from
+    rows = op8_quality(spark, data).collect()
+    known = spark.read.parquet(f"{data}/documents.parquet").select("doc_id").collect()
+    assert sorted(row["doc_id"] for row in rows) == sorted(row["doc_id"] for row in known)
+    labels = {row["doc_id"]: row["quality"] for row in spark.read.parquet(f"{data}/labels.parquet").collect()}
+    for row in rows:
+        assert row["held_out"] == (zlib.crc32(str(row["doc_id"]).encode()) % 5 == 0)
+        assert 0 <= row["score"] <= 1 and row["predicted"] == int(row["score"] >= 0.3)
+    held = [row for row in rows if row["held_out"] and labels.get(row["doc_id"]) is not None]
+    right = sum(row["predicted"] == labels[row["doc_id"]] for row in held)
+    assert held and right >= 0.9 * len(held)
+
+
+def test_a_column_with_the_name_of_the_output_is_replaced(awkward):
+    forest = quality.grow_forest(np.zeros((0, len(quality.STATISTICS))), np.zeros(0))
+    scored = quality.score(awkward, forest)
+    assert scored.columns == ["doc_id", "lang", "source", "n_chars", "kept", "score"]
+    assert {row["score"] for row in scored.collect()} == {0.5}

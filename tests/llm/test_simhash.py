@@ -11,6 +11,7 @@ from hypothesis import strategies as st
 
 from matrixmill.llm import simhash
 from matrixmill.llm.components import connected_components
+from matrixmill.plans import joins
 
 
 def plain_fingerprint(text: str | None) -> int:
@@ -114,3 +115,23 @@ def test_awkward_rows(awkward, no_documents):
     assert sorted(row["doc_id"] for row in kept.collect()) == [1, 3, 5, 6]
     assert simhash.near_duplicates(no_documents).collect() == []
     assert simhash.drop_near_duplicates(no_documents).collect() == []
+
+
+def test_a_column_with_the_name_of_the_fingerprint_is_replaced(awkward):
+    clashing = awkward.withColumnRenamed("kept", "Fingerprint")
+    marked = simhash.add_fingerprints(clashing, "text")
+    assert marked.columns == ["doc_id", "text", "lang", "source", "n_chars", "score", "fingerprint"]
+    values = {row["text"]: row["fingerprint"] for row in marked.collect()}
+    assert values[""] == values[None] == 0 and len(set(values.values())) > 2
+
+
+def test_components_do_not_depend_on_how_they_are_joined(spark, monkeypatch):
+    """A star of very many edges, a chain and a ring, with joins by shuffle and salted hot nodes."""
+    edges = [(0, k) for k in range(1, 400)] + [(1000 + k, 1001 + k) for k in range(60)]
+    edges += [(2000 + k, 2000 + (k + 1) % 30) for k in range(30)]
+    frame = spark.createDataFrame(edges, "a long, b long")
+    expected = {k: 0 for k in range(400)} | {1000 + k: 1000 for k in range(61)} | {2000 + k: 2000 for k in range(30)}
+    monkeypatch.setattr(joins, "measured_bytes", lambda df: 1 << 40)
+    monkeypatch.setattr(joins, "PIECES", 10)
+    rows = connected_components(frame, "a", "b").collect()
+    assert {row["node"]: row["root"] for row in rows} == expected and len(rows) == len(expected)

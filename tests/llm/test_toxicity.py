@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import itertools
 import random
+import zlib
 
 import numpy as np
 import pytest
@@ -112,3 +113,24 @@ def test_awkward_rows(spark, model, awkward, no_documents):
     assert {row["score"] < 1e-9 for row in toxicity.tag(awkward.select("doc_id", "text"), empty).collect()} == {True}
     odd = spark.createDataFrame([(None, 1, 1), (5, None, None), (6, 1, 1), (6, 0, 0)], nothing.schema)
     assert toxicity.fit_model(awkward, odd).weights == {}
+
+
+def test_query_has_the_contracts_columns_and_judges_held_out_rows(spark, data, texts):
+    from matrixmill.llm.queries import op9_toxicity
+
+    rows = op9_toxicity(spark, data).collect()
+    assert {row["doc_id"] for row in rows} == set(texts) and len(rows) == len(texts)
+    labels = {row["doc_id"]: row["toxic"] for row in spark.read.parquet(f"{data}/labels.parquet").collect()}
+    for row in rows:
+        assert row["held_out"] == (zlib.crc32(str(row["doc_id"]).encode()) % 3 == 1)
+        assert 0 <= row["score"] <= 1 and row["predicted"] == int(row["score"] >= 0.7)
+        assert all(0 <= x["start"] < x["end"] <= len(texts[row["doc_id"]]) for x in row["spans"])
+    held = [row for row in rows if row["held_out"] and labels.get(row["doc_id"]) == 0]
+    assert held and sum(row["predicted"] for row in held) <= 0.1 * len(held)
+
+
+def test_columns_with_the_names_of_outputs_are_replaced(awkward):
+    model = toxicity.ToxicityModel({}, -50.0, crf.Transitions(0.0, 0.0, 0.0))
+    tagged = toxicity.tag(awkward.withColumnRenamed("kept", "Spans"), model)
+    assert tagged.columns == ["doc_id", "text", "lang", "source", "n_chars", "score", "spans"]
+    assert all(row["score"] < 1e-9 and row["spans"] == [] for row in tagged.collect())
