@@ -63,9 +63,8 @@ def unpivot_counts(
 
     The counts of a gene are exploded as one array together with their position, and
     the position picks the sample name from a constant array. ``DataFrame.unpivot``
-    gives the same rows, but it writes out one projection per sample: above
-    ``spark.sql.codegen.maxFields`` (100) columns it runs uncompiled, and at 111
-    columns it took three times as long.
+    gives the same rows by one projection per sample; at 111 columns it took three times
+    as long.
     """
     _require_samples(columns)
     names = F.expr(f"array({', '.join(map(sql_text, columns))})")
