@@ -13,7 +13,6 @@ from matrixmill.plans.oracles import ORACLES  # noqa: E402
 from matrixmill.plans.queries import QUERIES  # noqa: E402
 
 DATA = Path("/root/testdata/sf0.001")
-WITHOUT_SQL = {"kmeans_clusters", "kmeans_cluster_profile", "rf_predictions", "sample_predictions"}
 
 pytestmark = pytest.mark.skipif(not DATA.exists(), reason="no test tables")
 
@@ -26,8 +25,8 @@ def database():
     return connection
 
 
-def test_only_models_lack_sql():
-    assert set(QUERIES) - set(ORACLES) == WITHOUT_SQL
+def test_every_matrix_query_has_sql():
+    assert set(QUERIES) == set(ORACLES)
     assert set(QUERIES) <= set(contract.queries())
     assert set(contract.oracle_sql()) <= set(contract.queries())
 
@@ -42,18 +41,16 @@ def test_query_equals_its_sql(spark, database, rows, name):
     assert rows(df) == sorted(other, key=by_text)
 
 
-@pytest.mark.parametrize("name", sorted(WITHOUT_SQL))
-def test_model_query_covers_every_sample(spark, name):
-    df = contract.queries()[name](spark, str(DATA))
-    if name == "kmeans_cluster_profile":
-        assert [row["cluster"] for row in df.orderBy("cluster").collect()] == [0, 1, 2]
-        return
-    collected = df.collect()
-    assert len({row["sample_uuid"] for row in collected}) == len(collected) == 10
-    if "pred_library_size" in df.columns:
-        sizes = [row["library_size"] for row in collected]
-        assert all(min(sizes) <= row["pred_library_size"] <= max(sizes) for row in collected)
+def test_predictions_lie_within_the_training_range(spark):
+    rows = contract.queries()["rf_predictions"](spark, str(DATA)).collect()
+    assert len({row["sample_uuid"] for row in rows}) == len(rows) == 10
+    assert all(row["in_training_range"] for row in rows)
 
 
 def test_entry(spark):
     assert contract.entry(spark).count() == 200
+
+
+def test_stored_bronze_is_filtered_by_the_scan(spark):
+    plan = QUERIES["stored_gene_filter"](spark, str(DATA))._jdf.queryExecution().executedPlan().toString()
+    assert "StringStartsWith(gene_id,ENSG)" in plan
